@@ -1,6 +1,12 @@
-from curate.registry import cleaning
+from curate.registry import changes, cleaning, landing, quality, questions
 
-_PARTS = (cleaning.REGISTRY,)
+_PARTS = (
+    cleaning.REGISTRY,
+    quality.REGISTRY,
+    questions.REGISTRY,
+    landing.REGISTRY,
+    changes.REGISTRY,
+)
 
 
 def entries():

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sentinel_to_null(df: DataFrame, columns: Iterable[str], sentinel: str = "N/A") -> DataFrame:
@@ -13,11 +14,19 @@ def sentinel_to_null(df: DataFrame, columns: Iterable[str], sentinel: str = "N/A
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
-    """Null to a default, one default per column.
+    """Null (or NaN) to a default, one default per column.
 
-    A default whose type does not suit its column leaves the column alone.
+    A default that cannot be read as the type of its column leaves it alone; a
+    column that does not exist is an error.
     """
-    return df.fillna(dict(defaults))
+    filled = {}
+    for name, default in defaults.items():
+        dtype = df.schema[name].dataType
+        value = F.col(f"`{name}`")
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            value = F.nanvl(value, F.lit(None).cast(dtype))
+        filled[name] = F.coalesce(value, F.lit(default).try_cast(dtype))
+    return df.withColumns(filled)
 
 
 def apply_types(df: DataFrame, parsers: Mapping[str, Callable[[Column], Column]]) -> DataFrame:

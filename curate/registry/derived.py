@@ -118,7 +118,7 @@ def _catalogue(d: Dialect) -> dict[str, str]:
         "DVD": "case when o_orderkey % 3 = 0 then 'N/A' when o_orderkey % 3 = 1 then null "
         f"else {d.date_text('o_orderdate')} end",
         "BoxOffice": "case when o_orderkey % 5 = 0 then 'N/A' when o_orderkey % 5 = 1 then null "
-        f"else concat('$', {d.grouped('cast(floor(o_totalprice) * 9000 as bigint)')}) end",
+        f"else concat('$', {d.grouped('cast(floor(o_totalprice) * 4500 as bigint)')}) end",
         "Production": "case when o_orderkey % 2 = 0 then 'N/A' else o_orderpriority end",
         "Website": f"case when o_orderkey % 2 = 0 then cast(null as {d.text}) else 'N/A' end",
         "Response": "'True'",

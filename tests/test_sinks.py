@@ -1,0 +1,61 @@
+"""Writers and their guards. No database runs here: only the way up to it."""
+
+from __future__ import annotations
+
+import logging
+
+import pytest
+
+from curate.sinks import load_jdbc, shared_folder, stored, write_parquet
+from curate.sources import jdbc_options, probe_jdbc, read_parquet
+
+NOWHERE = {"url": "jdbc:none:nowhere", "driver": "no.such.Driver"}
+
+
+def test_a_bad_mode_is_refused_even_for_an_empty_input(spark):
+    with pytest.raises(ValueError, match="mode"):
+        load_jdbc(spark.range(0), NOWHERE["url"], "t", "ignore")
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_an_empty_input_is_skipped(spark, caplog, mode):
+    with caplog.at_level(logging.WARNING):
+        assert load_jdbc(spark.range(0), NOWHERE["url"], "t", mode) == 0
+    assert "empty" in caplog.text
+
+
+def test_a_failed_load_raises(spark, caplog):
+    with pytest.raises(Exception, match="no.such.Driver"):
+        load_jdbc(spark.range(3), NOWHERE["url"], "t", driver=NOWHERE["driver"])
+    assert "load into t failed" in caplog.text
+
+
+def test_a_failed_probe_raises(spark, caplog):
+    with pytest.raises(Exception, match="no.such.Driver"):
+        probe_jdbc(spark, NOWHERE["url"], driver=NOWHERE["driver"])
+    assert "no connection" in caplog.text
+
+
+def test_options_leave_out_what_is_not_given():
+    assert jdbc_options("u", "t", extra={"batchsize": 10, "truncate": None}) == {
+        "url": "u", "dbtable": "t", "batchsize": "10",
+    }
+
+
+def test_parquet_overwrites_and_a_failed_write_raises(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_parquet(spark.range(3), path)
+    write_parquet(spark.range(5), path)
+    assert read_parquet(spark, path).count() == 5
+    assert read_parquet(spark, path, "id long").schema.fieldNames() == ["id"]
+    with pytest.raises(Exception, match="[Ee]xist"):
+        write_parquet(spark.range(1), path, "errorifexists")
+
+
+def test_intermediate_tables_lie_below_the_checkpoint_folder(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) != shared_folder(spark)
+    if before is not None:
+        assert shared_folder(spark).startswith(before.rstrip("/"))
+    kept = stored(spark.range(4), "ids")
+    assert kept.count() == 4 and kept.columns == ["id"]

@@ -16,7 +16,10 @@ from curate.operators.skew import join_unique
 
 
 def new_rows(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Incoming rows whose key the target does not hold yet."""
+    """Incoming rows whose key the target does not hold yet.
+
+    A row without a key matches nothing, so it is always new.
+    """
     known = target.select(key).dropna().distinct()
     return join_unique(incoming, known, [key], "left_anti")
 
@@ -39,10 +42,16 @@ def classify_changes(incoming: DataFrame, target: DataFrame, key: str) -> DataFr
 
 
 def upsert(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """The target after inserting new keys and replacing held ones."""
-    incoming = keep_one(incoming.filter(F.col(key).isNotNull()), key)
-    kept = join_unique(target, incoming.select(key), [key], "left_anti")
-    return kept.unionByName(incoming.select(*target.columns))
+    """The target after inserting new keys and replacing held ones.
+
+    Of incoming copies of one key the first stays, as in ``keep_one``; rows
+    without a key are added as they are.
+    """
+    incoming = incoming.select(*target.columns)
+    keyed = keep_one(incoming.filter(F.col(key).isNotNull()), key)
+    keyless = incoming.filter(F.col(key).isNull())
+    kept = join_unique(target, keyed.select(key), [key], "left_anti")
+    return kept.unionByName(keyed).unionByName(keyless)
 
 
 def history(

@@ -31,12 +31,14 @@ def rows_with_repeated_keys(
 
     ``repeated`` is the result of :func:`repeated_keys` where it is at hand.
     """
-    repeated = (repeated if repeated is not None else repeated_keys(df, key)).dropna(
-        subset=[key]
-    )
+    keyed = df.filter(F.col(key).isNotNull())
+    if repeated is None:
+        repeated = repeated_keys(keyed, key)
+    else:
+        repeated = repeated.filter(F.col(key).isNotNull())
     rest = [c for c in df.columns if c != key]
     rows = join_unique(
-        df.filter(F.col(key).isNotNull()),
+        keyed,
         repeated.select(key),
         [key],
         "left_semi",

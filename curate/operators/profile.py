@@ -8,15 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _is_text(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.StringType)
-
-
-def _measures(column: Column, dtype: T.DataType, sentinel: str) -> tuple[Column, Column]:
-    nulls = F.count_if(column.isNull())
-    sentinels = F.count_if(column == sentinel) if _is_text(dtype) else F.lit(0).cast("long")
-    return nulls, sentinels
+Labels = tuple[str, ...]
+
+
+def _profile(
+    df: DataFrame,
+    columns: Sequence[tuple[Labels, Column, T.DataType]],
+    names: Sequence[str],
+    sentinel: str,
+) -> DataFrame:
+    """Count everything into one wide row, then stand it up, a line per column."""
+    counts = [F.count(F.lit(1)).alias("__rows")]
+    cells: list[Column] = []
+    for i, (labels, column, dtype) in enumerate(columns):
+        counts.append(F.count(column).alias(f"__filled_{i}"))
+        cells += [F.lit(label) for label in (*labels, dtype.simpleString())]
+        cells.append(F.col("__rows") - F.col(f"__filled_{i}"))
+        if isinstance(dtype, T.StringType):
+            counts.append(F.count(F.when(column == sentinel, 1)).alias(f"__sentinel_{i}"))
+            cells.append(F.col(f"__sentinel_{i}"))
+        else:
+            cells.append(F.lit(0).cast("long"))
+    lines = F.stack(F.lit(len(columns)), *cells)
+    return df.agg(*counts).select(lines.alias(*names, "type", "nulls", "sentinels"))
 
 
 def profile_columns(df: DataFrame, sentinel: str = "N/A") -> DataFrame:
@@ -24,18 +38,8 @@ def profile_columns(df: DataFrame, sentinel: str = "N/A") -> DataFrame:
 
     One aggregate over one scan. Only text can hold the sentinel.
     """
-    rows = []
-    for field in df.schema.fields:
-        nulls, sentinels = _measures(F.col(f"`{field.name}`"), field.dataType, sentinel)
-        rows.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("type"),
-                nulls.alias("nulls"),
-                sentinels.alias("sentinels"),
-            )
-        )
-    return df.agg(F.array(*rows).alias("profile")).select(F.inline("profile"))
+    columns = [((f.name,), F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    return _profile(df, columns, ["column"], sentinel)
 
 
 def profile_stages(df: DataFrame, stages: Sequence[str], sentinel: str = "N/A") -> DataFrame:
@@ -44,18 +48,9 @@ def profile_stages(df: DataFrame, stages: Sequence[str], sentinel: str = "N/A")
     Each stage is a struct column holding the row as it was at that point. The
     result has one row per stage and column.
     """
-    rows = []
-    for stage in stages:
-        for field in df.schema[stage].dataType.fields:
-            column = F.col(stage)[field.name]
-            nulls, sentinels = _measures(column, field.dataType, sentinel)
-            rows.append(
-                F.struct(
-                    F.lit(stage).alias("stage"),
-                    F.lit(field.name).alias("column"),
-                    F.lit(field.dataType.simpleString()).alias("type"),
-                    nulls.alias("nulls"),
-                    sentinels.alias("sentinels"),
-                )
-            )
-    return df.agg(F.array(*rows).alias("profile")).select(F.inline("profile"))
+    columns = [
+        ((stage, f.name), F.col(stage)[f.name], f.dataType)
+        for stage in stages
+        for f in df.schema[stage].dataType.fields
+    ]
+    return _profile(df, columns, ["stage", "column"], sentinel)

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curate.functions import (
-    distinct_entry_keys,
     array_size_histogram,
+    distinct_entry_keys,
     parse_grouped_int,
     parse_money,
     parse_score,
@@ -208,7 +208,8 @@ def write_split(
         quarantine = label_quarantine(copies, df, key)
     else:
         quarantine = copies
-    write_parquet(quarantine.select(key, *[c for c in quarantine.columns if c != key]), quarantine_path)
+    rest = [c for c in quarantine.columns if c != key]
+    write_parquet(quarantine.select(key, *rest), quarantine_path)
     if small:
         unique = keyed.join(F.broadcast(repeated.select(key)), key, "left_anti")
         written = read_parquet(df.sparkSession, quarantine_path, quarantine.schema)
@@ -226,8 +227,13 @@ def write_split(
 def extract(
     pages: DataFrame, details: DataFrame, raw_path: str, max_pages: int = 5
 ) -> DataFrame:
-    """Landed search pages and details to raw Parquet; returns the missing hits."""
-    found, missing = lookup_details(search_hits(pages, max_pages), details, RAW_SCHEMA)
+    """Landed search pages and details to raw Parquet; returns the missing hits.
+
+    The hits are stored first: they are narrow, and every later step reads them
+    instead of parsing the pages again.
+    """
+    hits = stored(search_hits(pages, max_pages), "hits")
+    found, missing = lookup_details(hits, details, RAW_SCHEMA)
     write_parquet(found, raw_path)
     return missing
 

@@ -42,6 +42,13 @@ def test_upsert(incoming, held):
     }
 
 
+def test_upsert_keeps_one_copy_per_key_and_rows_without_one(spark, held):
+    late = spark.createDataFrame([("a", 9, "p"), ("a", 8, "q"), (None, 1, "r"), (None, 1, "r")], SCHEMA)
+    assert bag(op.upsert(late, held, "k").filter("k = 'a' or k is null")) == [
+        ("a", 8, "q"), (None, 1, "r"), (None, 1, "r"),
+    ]
+
+
 def brute_history(rows):
     out = []
     for key in {k for k, _, _ in rows}:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curate.operators.skew import fits_broadcast, join_unique
+from curate.operators.skew import fits_broadcast, join_unique, split_hot
 
 
 def top_k(df: DataFrame, by: str, k: int = 10, ties: Sequence[str] = ()) -> DataFrame:
@@ -68,13 +68,31 @@ def running_max(
 ) -> DataFrame:
     """Largest ``value`` so far in each partition; equal orders share a result.
 
-    Rows are first reduced to one peak per partition and order value, which
-    combines before the shuffle, and only peaks are windowed. ``coarse`` is a
-    column that never falls while ``order`` rises (the hour of a timestamp by
-    default): peaks are then windowed inside each coarse step, and one carried
-    value per step links the steps. So a window holds the distinct order values
-    of one step, or the distinct steps of one partition, never a whole group of
-    rows. Peaks join back to the rows with hot keys spread.
+    Ordinary partitions are windowed as they are. Hot ones, which may hold any
+    share of the rows, are first reduced to one peak per order value; see
+    :func:`_running_max_of_hot`. ``coarse`` is a column that never falls while
+    ``order`` rises, by default the hour of a timestamp.
+    """
+    ordinary, hot = split_hot(df, partition)
+    so_far = Window.partitionBy(*partition).orderBy(order)
+    plain = ordinary.withColumn(name, F.max(value).over(so_far))
+    return plain.unionByName(_running_max_of_hot(hot, partition, order, value, name, coarse))
+
+
+def _running_max_of_hot(
+    df: DataFrame,
+    partition: Sequence[str],
+    order: str,
+    value: str,
+    name: str,
+    coarse: Column | None,
+) -> DataFrame:
+    """The same result with windows over peaks instead of rows.
+
+    Peaks combine before the shuffle. Inside each coarse step they are windowed
+    on their own, and one carried value per step links the steps. So a window
+    holds the distinct order values of one step, or the distinct steps of one
+    partition. Peaks join back to the rows with hot order values spread.
     """
     keys = [*partition, order]
     coarse = coarse if coarse is not None else coarse_step(df, order)

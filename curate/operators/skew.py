@@ -12,8 +12,10 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 # A key is hot when it holds more than one in HOT_PARTS rows, so there are
-# fewer than HOT_PARTS hot keys however large the data is.
+# fewer than HOT_PARTS hot keys however large the data is. Up to HOT_ROWS rows
+# are no burden for a task and never hot.
 HOT_PARTS = 10_000
+HOT_ROWS = 100_000
 
 _COUNT = "__rows"
 _PARTS = "__parts"
@@ -50,11 +52,24 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], count: str = _COUNT) -> Dat
     """
     total = counts.agg(F.sum(count)).scalar()
     share = F.col(count) * F.lit(HOT_PARTS)
-    return counts.filter(share > total).select(
+    return counts.filter((F.col(count) > HOT_ROWS) & (share > total)).select(
         *keys, F.ceil(share / total).cast("int").alias(_PARTS)
     )
 
 
+def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys and rows of hot keys; null is a key like others.
+
+    No ordinary key holds more than the hot share of the rows. Where no key is
+    hot, the adaptive planner finds the list empty and skips the second half.
+    """
+    marked = df.withColumn("__group", F.struct(*keys))
+    counts = count_rows_by(marked, ["__group"])
+    hot = F.broadcast(hot_keys(counts, ["__group"]).select("__group"))
+    ordinary = marked.join(hot, "__group", "left_anti").drop("__group")
+    return ordinary, marked.join(hot, "__group", "left_semi").drop("__group")
+
+
 def join_unique(
     left: DataFrame,
     right: DataFrame,

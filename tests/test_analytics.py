@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curate import operators as op
+from curate.operators import skew
 from curate.plans import music, sales
 from curate.sources import read_csv
 
@@ -100,7 +101,12 @@ def brute_running_max(rows):
 
 
 @pytest.mark.parametrize("coarse", [False, True])
-def test_running_max_with_nulls_and_hot_partition(spark, coarse):
+@pytest.mark.parametrize("parts", [None, 3, 1000])
+def test_running_max_with_nulls_and_hot_partition(spark, monkeypatch, coarse, parts):
+    """No partition hot, the largest one hot, all of them hot."""
+    if parts is not None:
+        monkeypatch.setattr(skew, "HOT_ROWS", 0)
+        monkeypatch.setattr(skew, "HOT_PARTS", parts)
     pick = random.Random(7)
     start = datetime.datetime(2024, 1, 1)
     rows = []

@@ -81,6 +81,13 @@ def test_repeated_rows_have_the_key_first(spark):
     assert op.rows_with_repeated_keys(df, "k").columns == ["k", "a"]
 
 
+@pytest.fixture
+def easily_hot(monkeypatch):
+    """One in ten rows makes a key hot, also in a small table."""
+    monkeypatch.setattr(skew, "HOT_PARTS", 10)
+    monkeypatch.setattr(skew, "HOT_ROWS", 0)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One key holds a third of the rows, most others are single."""
@@ -93,15 +100,13 @@ def skewed(spark):
     return rows
 
 
-def test_hot_keys_are_few_and_spread(spark, skewed, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_PARTS", 10)
+def test_hot_keys_are_few_and_spread(spark, skewed, easily_hot):
     counts = skew.count_rows_by(skewed, ["k"])
     assert [tuple(r) for r in skew.hot_keys(counts, ["k"]).collect()] == [("hot", 4)]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_unique_equals_the_plain_join(spark, skewed, monkeypatch, how):
-    monkeypatch.setattr(skew, "HOT_PARTS", 10)
+def test_join_unique_equals_the_plain_join(spark, skewed, easily_hot, how):
     right = skewed.select("k").distinct().filter(F.hash("k") % 3 != 0).withColumn("r", F.upper("k"))
     found = op.join_unique(skewed, right, ["k"], how)
     wanted = skewed.join(right, ["k"], how)
@@ -109,14 +114,24 @@ def test_join_unique_equals_the_plain_join(spark, skewed, monkeypatch, how):
     assert bag(found.select(*wanted.columns)) == bag(wanted)
 
 
+def test_small_keys_are_never_hot(skewed):
+    assert skew.hot_keys(skew.count_rows_by(skewed, ["k"]), ["k"]).count() == 0
+
+
+def test_split_hot_takes_null_for_a_key(skewed, easily_hot):
+    df = skewed.withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
+    ordinary, hot = skew.split_hot(df, ["k"])
+    assert hot.count() == 10_000 and hot.filter("k is not null").count() == 0
+    assert ordinary.count() == 20_000 and ordinary.columns == df.columns
+
+
 def test_join_unique_refuses_joins_that_repeat_the_right_side(skewed):
     with pytest.raises(ValueError):
         op.join_unique(skewed, skewed, ["k"], "full")
 
 
-def test_hot_rows_reach_several_tasks(spark, skewed, monkeypatch):
+def test_hot_rows_reach_several_tasks(spark, skewed, easily_hot):
     """After the spread no partition of the join holds the whole hot key."""
-    monkeypatch.setattr(skew, "HOT_PARTS", 10)
     right = skewed.select("k").distinct().withColumn("r", F.lit(1))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -132,7 +147,9 @@ def test_hot_rows_reach_several_tasks(spark, skewed, monkeypatch):
 
 @pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("null_keys", ["quarantine", "collapse"])
-def test_staged_write_equals_the_split(spark, skewed, tmp_path, monkeypatch, small, null_keys):
+def test_staged_write_equals_the_split(
+    spark, skewed, tmp_path, monkeypatch, easily_hot, small, null_keys
+):
     monkeypatch.setattr(cat, "fits_broadcast", lambda df: small)
     df = skewed.withColumn("k", F.when(F.col("b") % 7 != 0, F.col("k")))
     main, quarantine = str(tmp_path / "main"), str(tmp_path / "quarantine")

@@ -7,6 +7,7 @@ import re
 import pytest
 
 from curate import operators as op
+from curate.operators import skew
 from curate.plans import catalogue as cat
 from curate.registry import entries
 from curate.registry.derived import derived
@@ -63,19 +64,20 @@ def test_survivors_take_one_shuffle_and_no_window(spark):
     assert "Window" not in text and "partial_min" in text
 
 
-@pytest.mark.parametrize(
-    "name", ["curated_quarantine", "rows_repeated", "dedup_main", "lines_highest_price"]
-)
-def test_no_window_holds_whole_rows(spark, name):
-    windows = re.findall(r"\n[^\n]*\bWindow \[[^\n]*", built(spark, name))
-    assert all("__peak" in w for w in windows)
+WINDOW = re.compile(r"\bWindow \[[^\n]*")
 
 
-def test_running_max_windows_only_peaks(spark):
+@pytest.mark.parametrize("name", ["curated_quarantine", "rows_repeated", "dedup_main", "curated_main"])
+def test_duplicates_need_no_window(spark, name):
+    assert not WINDOW.search(built(spark, name))
+
+
+def test_running_max_windows_only_peaks_of_hot_partitions(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 0)
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
-    text = plan(op.running_max(events, ["event_type"], "ts", "value", "m"))
-    windows = re.findall(r"Window \[.*", text)
-    assert windows and all("__peak" in w for w in windows)
+    found = op.running_max(events, ["event_type"], "ts", "value", "m")
+    windows = WINDOW.findall(plan(found))
+    assert len(windows) == 3 and sum("__peak" in w for w in windows) == 2
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -53,8 +53,11 @@ def top_n_per_group(
 
 def coarse_step(df: DataFrame, order: str) -> Column | None:
     """The hour of a timestamp; other orders have no coarser step by default."""
-    if isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
+    dtype = df.schema[order].dataType
+    if isinstance(dtype, T.TimestampType):
         return F.date_trunc("hour", F.col(order))
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.struct(F.to_date(order).alias("day"), F.hour(order).alias("hour"))
     return None
 
 

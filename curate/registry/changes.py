@@ -68,7 +68,8 @@ def upserted(spark, sf_dir):
     kept as (select * from marked where before is null or before <> o_orderstatus)
     select o_custkey, o_orderstatus, day as valid_from,
       lead(day) over (partition by o_custkey order by day) as valid_to
-    from kept"""
+    from kept""",
+    name="history",
 )
 def status_history(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(

@@ -74,7 +74,8 @@ def clean_typed(spark, sf_dir):
     f"""with {DIRTY}
     select item_id, year_txt,
       try_cast(regexp_extract(year_txt, '^\\s*([0-9]{{4}})', 1) as integer) as first_year
-    from dirty"""
+    from dirty""",
+    name="launch_year",
 )
 def first_year(spark, sf_dir):
     dirty = derived(spark, sf_dir, "dirty")
@@ -89,7 +90,8 @@ def first_year(spark, sf_dir):
       from dirty)
     select item_id, {int_sql("replace(alpha_txt, '%', '')")} as alpha,
       try_cast(split_part(beta_txt, '/', 1) as decimal(3,1)) as beta
-    from found"""
+    from found""",
+    name="pivot_entries",
 )
 def pivoted_entries(spark, sf_dir):
     dirty = derived(spark, sf_dir, "dirty").select("item_id", "ratings")

@@ -13,17 +13,18 @@ Build = Callable[[SparkSession, str], DataFrame]
 @dataclass(frozen=True)
 class Entry:
     build: Build
-    sql: str | None
+    sql: str
 
 
 class Registry(dict[str, Entry]):
-    def query(self, sql: str | None = None) -> Callable[[Build], Build]:
-        """Register a function under its own name."""
+    def query(self, sql: str, name: str | None = None) -> Callable[[Build], Build]:
+        """Register a function, under its own name unless another is given."""
 
         def add(build: Build) -> Build:
-            if build.__name__ in self:
-                raise ValueError(f"{build.__name__} is registered twice")
-            self[build.__name__] = Entry(build, sql)
+            key = name or build.__name__
+            if key in self:
+                raise ValueError(f"{key} is registered twice")
+            self[key] = Entry(build, sql)
             return build
 
         return add

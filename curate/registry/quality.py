@@ -49,7 +49,8 @@ ENTRY_TYPE = "array<struct<Source:string,Value:string>>"
 
 @REGISTRY.query(
     f"with {DIRTY} "
-    + profile_sql("dirty", [(c, "string") for c in SCALARS] + [("ratings", ENTRY_TYPE)])
+    + profile_sql("dirty", [(c, "string") for c in SCALARS] + [("ratings", ENTRY_TYPE)]),
+    name="profile_columns",
 )
 def column_profile(spark, sf_dir):
     return profile_columns(derived(spark, sf_dir, "dirty"))
@@ -133,7 +134,7 @@ def more_rules(spark, sf_dir):
 REPEATED = "select item_id, count(*) as \"count\" from dirty group by item_id having count(*) > 1"
 
 
-@REGISTRY.query(f"with {DIRTY} {REPEATED}")
+@REGISTRY.query(f"with {DIRTY} {REPEATED}", name="repeated_keys")
 def repeated_key_counts(spark, sf_dir):
     return repeated_keys(derived(spark, sf_dir, "dirty"), "item_id")
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from curate.functions import ms_to_minutes
 from curate.operators import (
     count_by,
+    join_unique,
     mean_and_sum_by,
     mean_by,
     running_max,
@@ -104,7 +107,7 @@ LINES = derived_sql("lines")
 
 
 @REGISTRY.query(f"with {LINES} select * from lines where category = 'A' and price > 50000")
-def lines_filter_and(spark, sf_dir):
+def filter_and(spark, sf_dir):
     return sales.in_category_above(derived(spark, sf_dir, "lines"), "A", 50000.0)
 
 
@@ -114,7 +117,7 @@ def lines_filter_price(spark, sf_dir):
 
 
 @REGISTRY.query("select p_partkey, p_name, p_size from part where p_size < 10 or p_size > 40")
-def parts_filter_or(spark, sf_dir):
+def filter_or(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     return parts.filter((F.col("p_size") < 10) | (F.col("p_size") > 40))
 
@@ -123,7 +126,7 @@ def parts_filter_or(spark, sf_dir):
     f"""with {LINES} select * replace (coalesce(city, 'no city') as city),
     price * quantity as total from lines"""
 )
-def lines_with_total(spark, sf_dir):
+def line_total_filled(spark, sf_dir):
     return sales.with_total(derived(spark, sf_dir, "lines"))
 
 
@@ -149,6 +152,38 @@ def lines_highest_price(spark, sf_dir):
     return sales.highest_price_so_far(derived(spark, sf_dir, "lines"))
 
 
+@REGISTRY.query(
+    """select o_orderkey, o_custkey, o_orderdate::date as day, o_totalprice,
+    max(o_totalprice) over (partition by o_custkey order by o_orderdate::date) as highest
+    from orders"""
+)
+def running_max_price(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice"
+    )
+    return running_max(orders, ["o_custkey"], "day", "o_totalprice", "highest")
+
+
+@REGISTRY.query(
+    """select l_orderkey, l_linenumber,
+      (epoch_ms(l_shipdate) - epoch_ms(o_orderdate)) / 60000.0::double as minutes
+    from lineitem join orders on l_orderkey = o_orderkey
+    order by minutes desc nulls last, l_orderkey, l_linenumber limit 10"""
+)
+def longest_lead(spark, sf_dir):
+    """Order lines that took longest from order to shipment."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
+    )
+    seconds = (F.col("l_shipdate") - F.col("o_orderdate")).cast(T.DayTimeIntervalType(3, 3))
+    ms = seconds.cast("decimal(18,6)").cast("double") * 1000
+    leads = join_unique(lines, orders, ["l_orderkey"]).select(
+        "l_orderkey", "l_linenumber", ms_to_minutes(ms).alias("minutes")
+    )
+    return top_k(leads, "minutes", 10, ["l_orderkey", "l_linenumber"])
+
+
 @REGISTRY.query(
     """select event_id, ts, event_type, value,
     max(value) over (partition by event_type order by ts) as highest from events"""
@@ -163,7 +198,7 @@ def events_running_max(spark, sf_dir):
     """select c_nationkey as category, c_custkey, c_name, c_mktsegment, n_name as department
     from customer join nation on c_nationkey = n_nationkey"""
 )
-def customers_with_nation(spark, sf_dir):
+def enrich_broadcast(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").alias("category"), "c_custkey", "c_name", "c_mktsegment"
     )
@@ -198,7 +233,7 @@ def orders_per_customer_year(spark, sf_dir):
     """select o_orderstatus, round(avg(o_totalprice::decimal(18,2)), 2) as mean_price
     from orders group by 1"""
 )
-def mean_price_by_status(spark, sf_dir):
+def avg_price_by_status(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price")
     )
@@ -213,7 +248,7 @@ def mean_price_by_status(spark, sf_dir):
       from (select cast(year(o_orderdate) as integer) as year, o_custkey, count(*) as orders
             from orders group by 1, 2)) where rank <= 5"""
 )
-def top_customers_per_year(spark, sf_dir):
+def top5_customers_per_year(spark, sf_dir):
     counts = orders_per_customer_year(spark, sf_dir)
     return top_n_per_group(counts, ["year"], "orders", 5, ["o_custkey"])
 

@@ -38,13 +38,13 @@ def test_top_k_sorts_only_k_rows(spark, name):
     assert "TakeOrderedAndProject" in built(spark, name)
 
 
-@pytest.mark.parametrize("name", ["songs_top_artists", "top_customers_per_year"])
+@pytest.mark.parametrize("name", ["songs_top_artists", "top5_customers_per_year"])
 def test_top_n_is_cut_before_the_shuffle(spark, name):
     text = built(spark, name)
     assert re.search(r"WindowGroupLimit.*Partial", text) and re.search(r"WindowGroupLimit.*Final", text)
 
 
-@pytest.mark.parametrize("name", ["column_profile", "stage_profile"])
+@pytest.mark.parametrize("name", ["profile_columns", "stage_profile"])
 def test_profile_is_one_scan(spark, name):
     text = built(spark, name)
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
@@ -81,7 +81,7 @@ def test_running_max_windows_only_peaks_of_hot_partitions(spark, monkeypatch):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    assert "PushedFilters: [Or(LessThan(p_size,10),GreaterThan(p_size,40))]" in built(spark, "parts_filter_or")
+    assert "PushedFilters: [Or(LessThan(p_size,10),GreaterThan(p_size,40))]" in built(spark, "filter_or")
     assert "ReadSchema: struct<c_acctbal:double,c_mktsegment:string>" in built(spark, "segment_summary")
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     assert "ReadSchema: struct<o_custkey:bigint>" in plan(op.repeated_keys(orders, "o_custkey"))

@@ -11,18 +11,16 @@ from curate.operators import (
     rows_with_repeated_keys,
     rule_in_set,
     rule_matches,
-    rule_not_null,
     rule_range,
     rule_references,
     rule_unique,
     split_duplicates,
 )
-from curate.functions import to_int
 from curate.plans import catalogue as cat
-from curate.registry.cleaning import CATALOGUE, DIRTY, STAGES, int_sql, output_sql
+from curate.registry.cleaning import DIRTY, STAGES, output_sql
 from curate.registry.derived import derived
 from curate.registry.entries import Registry, table
-from curate.sinks import shared_folder, stored, write_parquet
+from curate.sinks import shared_folder, write_parquet
 from curate.sources import read_parquet
 
 REGISTRY = Registry()

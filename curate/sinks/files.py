@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,12 +15,19 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder that driver and executors share.
 
-    Only where the session names none, as in local tests, is a temporary
-    folder made.
+    It lies below ``spark.checkpoint.dir``, else below the checkpoint folder set
+    on the context. Only a local master, which has one machine, may fall back to
+    a temporary folder; elsewhere a missing setting raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curate-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and (context := spark.sparkContext.getCheckpointDir()):
+        base = context
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="curate-")
     return f"{base.rstrip('/')}/curate-{uuid.uuid4().hex}"
 
 

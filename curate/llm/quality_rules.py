@@ -242,8 +242,8 @@ ORACLE_SQL = r"""
 with d as (
   select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as t from documents
 ), w as (
-  select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') as ws,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+  select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
   from d
 ), sh as (
   select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as s

@@ -181,18 +181,17 @@ def thresholds(counts: DataFrame) -> DataFrame:
     """Limits in force for each (lang, source): own, else language-wide, else global."""
     own = _fences(counts, ["lang", "source"], "own_")
     by_lang = _fences(counts, ["lang"], "lang_").withColumnRenamed("lang", "of_lang")
-    overall = _fences(counts.withColumn("every", F.lit(1)), ["every"], "all_")
-    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").join(
-        overall, F.col("every") == 1, "left"
-    )
+    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     names = [f"{side}_{name}" for name in METRICS for side in ("low", "high")]
+    overall = _fences(counts.withColumn("every", F.lit(1)), ["every"], "").first()
+    everywhere = overall.asDict() if overall else {}
     return joined.select(
         F.col("lang").alias("of_lang"),
         F.col("source").alias("of_source"),
         *[
             F.when(F.col("own_n") >= MIN_GROUP, F.col(f"own_{n}"))
             .when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{n}"))
-            .otherwise(F.col(f"all_{n}"))
+            .otherwise(F.lit(everywhere.get(n)).cast("long"))
             .alias(f"__{n}")
             for n in names
         ],
@@ -205,7 +204,7 @@ def judged(stats: DataFrame, groups: tuple[str, str] = ("lang", "source")) -> Da
     Limits are joined; they are broadcast only if measured small, else both sides are
     dealt out by language and source, where the adaptive planner splits hot groups.
     """
-    limits = stored(thresholds(sketches(stats, groups)), "limits")
+    limits = stored(thresholds(stored(sketches(stats, groups), "sketches")), "limits")
     if fits_broadcast(limits):
         limits = F.broadcast(limits)
     inside = F.lit(True)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curate.llm import line_dedup, mixing, packing, quality_rules, simhash, token_files
+from curate.llm import (
+    lattice,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    quality_rules,
+    rule_ensemble,
+    simhash,
+    token_files,
+    url_rules,
+)
 from curate.registry.entries import table
 from curate.sinks.files import shared_folder
 
@@ -22,6 +33,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_tokens(spark, path))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -39,6 +54,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return rule_ensemble.score_documents(docs, labels)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
     gone = F.aggregate(
@@ -63,14 +91,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_mixing, op2_token_files, op4_packing, op5_quality_rules, op6_simhash,
-            op10_line_dedup, pipeline,
+            op1_mixing, op2_token_files, op3_neighbours, op4_packing, op5_quality_rules,
+            op6_simhash, op7_lattice, op8_url_rules, op9_rule_ensemble, op10_line_dedup, pipeline,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_url_rules": url_rules.ORACLE_SQL,
         "op5_quality_rules": quality_rules.ORACLE_SQL,
         "op10_line_dedup": line_dedup.ORACLE_SQL,
     }

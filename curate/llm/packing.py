@@ -47,8 +47,9 @@ def _pieces(
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
         rows, crc, tokens = [], [], []
-        for at, text in enumerate(batch.column("text").to_pylist()):
-            ids = coder.encode(text or "") + end
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for at, coded in enumerate(coder.encode(texts)):
+            ids = coded + end
             for number, (a, b) in enumerate(cuts(len(ids) // 4, capacity)):
                 rows.append((at, number, a, b - a))
                 crc.append(zlib.crc32(ids[4 * a : 4 * b]))

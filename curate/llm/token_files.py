@@ -36,7 +36,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     coder, before = encoder(path), 0
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
-        coded = [coder.encode(t or "") + end for t in batch.column("text").to_pylist()]
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        coded = [ids + end for ids in coder.encode(texts)]
         lengths = np.array([len(c) // 4 for c in coded], dtype=np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         ids = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))

@@ -1,30 +1,25 @@
 """Token ids of whole texts by a tokenizer file, with a cache of words.
 
-A byte-level tokenizer never joins across the step from a non-blank character to a
-space, so a text may be cut there and the parts encoded one by one, with the same ids.
-Words repeat, so each worker keeps the ids of the parts it has met and asks the library
-for the others only. The caches have a fixed size and are emptied when full.
+A byte-level tokenizer never joins across the step from a non-blank character to a space
+or line feed, nor from a single line feed to a non-blank, so a text may be cut there and
+the parts encoded one by one, with the same ids. Words repeat, so each worker keeps the
+ids of parts it has met and asks the library for the others only. Frequent parts are met
+early; once the cache is full, further ones are encoded each time they come.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from array import array
-from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_200_000
 CACHE_LENGTH = 64
-
-#: A word with at most one full stop or comma, perhaps another one on the next line.
-#: Between its groups the tokenizer always cuts.
-_SIMPLE = re.compile(r"([^\W\d_]+)([.,]?)(?:(\n)([^\W\d_]+)([.,]?))?")
-_BEFORE_SPACE = re.compile(r"(?<=\S) ")
+GROUP_CHARS = 6 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -42,61 +37,63 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts: dict[str, bytes] = {}  # what follows a space, with that space
-        self.pieces: dict[str, bytes] = {}  # exactly this text
+        #: By part: one that begins with a line feed, or else follows a space.
+        self.parts: dict[str, bytes] = {}
         self.line_feed = int(self._ids("\n")[0])
 
     def _ids(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.frombuffer(array("I", found), dtype="<u4")
 
-    def _learn_pieces(self, words: list[str]) -> None:
-        """Encode words as the lines of one text; the ids of the line feeds part them."""
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each with or without a space before it. They are encoded as the
+        lines of one text; the ids of the line feeds part them."""
         ids = self._ids("\n".join(words))
-        ends = np.flatnonzero(ids == self.line_feed).tolist()
-        data, at = ids.tobytes(), 0
-        for word, end in zip(words, [*ends, len(ids)], strict=True):
-            self.pieces[word] = data[4 * at : 4 * end]
-            at = end + 1
-
-    def _lookup(self, texts: Iterable[str]) -> dict[str, bytes]:
-        """Ids of texts that begin where a token begins and end where one ends."""
-        cut = {t: m.groups("") for t in texts if (m := _SIMPLE.fullmatch(t.removeprefix(" ")))}
-        found = {}
-        for t, groups in cut.items():
-            first = " " + groups[0] if t[0] == " " else groups[0]
-            found[t] = [p for p in (first, *groups[1:]) if p]
-        wanted = {p for pieces in found.values() for p in pieces} - self.pieces.keys()
-        if len(self.pieces) + len(wanted) > CACHE_ENTRIES:
-            self.pieces.clear()
-            wanted = {p for pieces in found.values() for p in pieces}
-        for p in wanted & {"\n"}:
-            self.pieces[p] = self._ids(p).tobytes()
-        if words := sorted(wanted - {"\n"}):
-            self._learn_pieces(words)
-        return {
-            t: b"".join(map(self.pieces.__getitem__, found[t])) if t in found else self._ids(t).tobytes()
-            for t in texts
-        }
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        missing = [p for p in rest if p not in self.parts]
-        if not first or first[-1].isspace() or any(not p or p[-1].isspace() for p in missing):
-            first, *rest = _BEFORE_SPACE.split(text)
-            missing = [p for p in rest if p not in self.parts]
-        new = self._lookup({first, *(" " + p for p in missing)})
-        own = {p: new[" " + p] for p in missing}
-        if own:
-            ids = [own.get(p) or self.parts[p] for p in rest]
-            if len(self.parts) + len(own) > CACHE_ENTRIES:
-                self.parts.clear()
-            self.parts.update((p, i) for p, i in own.items() if len(p) <= CACHE_LENGTH and p and not p[-1].isspace())
-        else:
-            ids = map(self.parts.__getitem__, rest)
-        return new[first] + b"".join(ids)
+        ends = [*np.flatnonzero(ids == self.line_feed).tolist(), len(ids)]
+        if len(ends) != len(words):
+            raise ValueError("this tokenizer joins across line feeds")
+        data, starts = ids.tobytes(), [0, *(e + 1 for e in ends)]
+        return [data[4 * a : 4 * e] for a, e in zip(starts, ends)]  # noqa: B905
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        cut = [text.replace("\n", " \n").split(" ") for text in texts]
+        new: set[str] = set()
+        for parts in cut:
+            new.update(set(parts[1:]).difference(self.parts))
+        # Parts with more than one line feed or other blanks need their whole text.
+        odd = {p for p in new if (body := p.removeprefix("\n")).split() != [body]}
+        whole = [
+            parts[0].split() != [parts[0]] or (bool(odd) and not odd.isdisjoint(parts[1:]))
+            for parts in cut
+        ]
+        fresh = list(new - odd)
+        firsts = [parts[0] for parts, alone in zip(cut, whole, strict=True) if not alone]
+        words = [p[1:] if p[0] == "\n" else " " + p for p in fresh] + firsts
+        ids = self._words(words) if words else []
+        feed = self.line_feed.to_bytes(4, "little")
+        for p, own in zip(fresh, ids[: len(fresh)], strict=True):
+            self.parts[p] = feed + own if p[0] == "\n" else own
+        get, heads = self.parts.__getitem__, iter(ids[len(fresh) :])
+        coded = [
+            self._ids(text).tobytes() if alone else next(heads) + b"".join(map(get, parts[1:]))
+            for text, parts, alone in zip(texts, cut, whole, strict=True)
+        ]
+        full = len(self.parts) > CACHE_ENTRIES
+        for p in fresh:
+            if full or len(p) > CACHE_LENGTH:
+                del self.parts[p]
+        return coded
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Bytes of the ids of each text."""
+        coded, some, size = [], [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size > GROUP_CHARS:
+                coded += self._encode_group(some)
+                some, size = [], 0
+        return coded + self._encode_group(some)
 
 
 @lru_cache(maxsize=1)

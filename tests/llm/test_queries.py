@@ -1,0 +1,57 @@
+"""Registered queries against their SQL, and the pipeline against a plain version."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from curate.llm.registry import oracle_sql, queries
+from curate.registry.entries import Entry
+from tests.check_oracle import compare, duck
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    entry = Entry(queries()[name], oracle_sql()[name])
+    assert compare(spark, duck(SF_DIR), SF_DIR, entry) is None
+
+
+def test_pipeline_stages_act_on_what_is_left(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    tables = []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(number))
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        docs = spark.read.parquet(path)
+        tables.append(docs)
+    quality, lines, near, mixed, packed = tables
+    verdicts = queries()["op5_quality_rules"](spark, SF_DIR).filter("kept")
+    kept = {r.doc_id for r in verdicts.collect()}
+    assert {r.doc_id for r in quality.collect()} == kept == {r.doc_id for r in lines.collect()}
+    ids = {r.doc_id for r in near.collect()}
+    assert ids <= kept and near.count() == len(ids)
+    assert {r.doc_id for r in mixed.collect()} == ids
+    assert {r.doc_id for r in packed.collect()} == ids
+    for table in tables[:-1]:
+        assert table.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_neighbours_recall(spark):
+    import numpy as np
+
+    rows = duckdb.sql(f"select vec_id, embedding from '{SF_DIR}/embeddings.parquet'").fetchall()
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    got: dict[int, set] = {}
+    for r in queries()["op3_neighbours"](spark, SF_DIR).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for row, q in enumerate(ids):
+        if q % 50 == 0:
+            order = np.argsort(-(unit @ unit[row]), kind="stable")
+            best = {int(ids[i]) for i in [i for i in order if i != row][:5]}
+            hits, total = hits + len(best & got[q]), total + len(best)
+    assert hits >= 0.9 * total

@@ -17,9 +17,9 @@ import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 650_000
 CACHE_LENGTH = 64
-GROUP_CHARS = 6 << 20
+GROUP_CHARS = 4 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

@@ -36,7 +36,7 @@ BLOCK_TOKENS = 100_000
 GRID = 1024
 STEP = 32
 UNIT = 10_000
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 @dataclass(frozen=True)

@@ -82,7 +82,7 @@ def join_unique(
 
     Every hot key of ``left`` is cut into parts by the input partition its rows
     come from, and its row in ``right`` is repeated once per part, so no task
-    receives a whole hot key. ``counts`` gives the rows per key where the caller
+    receives a whole hot key; rows with a null key are spread too. ``counts`` gives the rows per key where the caller
     has them already. ``how`` is inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -91,8 +91,13 @@ def join_unique(
         counts = count_rows_by(left.dropna(subset=list(keys)), keys, count)
     hot = F.broadcast(hot_keys(counts, keys, count))
     own_part = F.pmod(F.spark_partition_id(), F.col(_PARTS))
+    # A null key matches nothing, so its rows may go to any part.
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(f"`{key}`").isNull()
+    any_part = F.pmod(F.monotonically_increasing_id(), F.lit(HOT_PARTS)).cast("int")
     spread_left = left.join(hot, list(keys), "left").withColumn(
-        _PART, F.coalesce(own_part, F.lit(0))
+        _PART, F.when(keyless, any_part).otherwise(F.coalesce(own_part, F.lit(0)))
     )
     all_parts = F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)
     spread_right = right.join(hot, list(keys), "left").withColumn(_PART, F.explode(all_parts))

@@ -225,7 +225,7 @@ def write_split(
 
 
 def extract(
-    pages: DataFrame, details: DataFrame, raw_path: str, max_pages: int = 5
+    pages: DataFrame, details: DataFrame, raw_path: str, max_pages: int | None = None
 ) -> DataFrame:
     """Landed search pages and details to raw Parquet; returns the missing hits.
 

@@ -60,7 +60,7 @@ def probe_jdbc(
 ) -> None:
     """Run a trivial query; log the outcome and raise when it fails."""
     try:
-        read_jdbc(spark, url, query, user=user, password=password, driver=driver).collect()
+        read_jdbc(spark, url, query, user=user, password=password, driver=driver).limit(1).collect()
     except Exception:
         logger.exception("no connection to the database")
         raise

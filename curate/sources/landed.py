@@ -6,7 +6,7 @@ are JSON. Fetching them is left to whatever lands the files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,25 +30,40 @@ def is_success(response: Column) -> Column:
     return F.coalesce(response == "True", F.lit(False))
 
 
-def search_hits(pages: DataFrame, max_pages: int = 5) -> DataFrame:
+def search_hits(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Titles found per query: (query, page, pos, title), repeats kept.
 
-    A query is read from page 1 up to ``max_pages`` and ends at its first page
-    that is absent, unreadable or unsuccessful; later pages of it are ignored.
-    A page landed more than once counts once, so a query holds at most
-    ``max_pages`` rows when they are numbered.
+    A query is read from page 1 on, up to ``max_pages`` where that is given, and
+    ends at its first page that is absent, unreadable or unsuccessful; later pages
+    of it are ignored. A page landed more than once counts once.
+
+    The end is found by keys: the least page whose successor is not there. So no
+    task gathers the pages of a query to number them.
     """
-    parsed = pages.filter(F.col("page").between(1, max_pages)).select(
+    wanted = F.col("page") >= 1
+    if max_pages is not None:
+        wanted = wanted & (F.col("page") <= max_pages)
+    parsed = pages.filter(wanted).select(
         "query", "page", F.from_json("body", PAGE_SCHEMA).alias("result")
     )
-    good = parsed.filter(is_success(F.col("result.Response"))).select(
-        "query", "page", F.col("result.Search.Title").alias("titles")
+    good = keep_one(
+        parsed.filter(is_success(F.col("result.Response"))).select(
+            "query", "page", F.col("result.Search.Title").alias("titles")
+        ),
+        ["query", "page"],
+    )
+    keys = good.select("query", "page")
+    there = keys.select(F.col("query").alias("q"), F.col("page").alias("p"))
+    before_first = keys.select("query").distinct().withColumn("page", F.lit(0).cast("int"))
+    stops = (
+        keys.unionByName(before_first)
+        .withColumn("page", F.col("page") + 1)
+        .join(there, F.col("query").eqNullSafe(F.col("q")) & (F.col("page") == F.col("p")), "left_anti")
+        .groupBy(F.col("query").alias("q"))
+        .agg(F.min("page").alias("stop"))
     )
-    in_turn = Window.partitionBy("query").orderBy("page")
-    reached = (
-        keep_one(good, ["query", "page"])
-        .withColumn("turn", F.row_number().over(in_turn))
-        .filter(F.col("turn") == F.col("page"))
+    reached = good.join(
+        stops, F.col("query").eqNullSafe(F.col("q")) & (F.col("page") < F.col("stop"))
     )
     return reached.select("query", "page", F.posexplode("titles").alias("pos", "title"))
 

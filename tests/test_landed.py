@@ -43,12 +43,19 @@ def found(df):
 
 
 def test_search_stops_at_the_first_bad_page(pages):
-    assert found(search_hits(pages)) == [
+    assert found(search_hits(pages, max_pages=5)) == [
         ("long", 1, 0, "P1"), ("long", 2, 0, "P2"), ("long", 3, 0, "P3"), ("long", 4, 0, "P4"),
         ("long", 5, 0, "P5"), ("love", 1, 0, "One"), ("star", 1, 0, "One"), ("star", 1, 1, "Two"),
         ("star", 2, 0, "Three"),
     ]
-    assert ("long", 6, 0, "P6") in found(search_hits(pages, max_pages=6))
+    every = found(search_hits(pages))
+    assert ("long", 6, 0, "P6") in every and len(every) == 10
+
+
+def test_search_keeps_pages_of_a_null_query(spark):
+    rows = [(None, 1, page("A")), (None, 2, page("B")), (None, 4, page("D"))]
+    df = spark.createDataFrame(rows, "query string, page int, body string")
+    assert [(r.page, r.title) for r in search_hits(df).orderBy("page").collect()] == [(1, "A"), (2, "B")]
 
 
 def record(title, key, **fields):
@@ -88,7 +95,7 @@ def test_lookup_repeats_and_reports(spark, pages, details):
     records, missing = lookup_details(search_hits(pages), details, cat.RAW_SCHEMA)
     assert records.columns == list(cat.RAW_COLUMNS)
     assert sorted(r.Title for r in records.collect()) == ["One", "One", "P1", "P3", "Three"]
-    assert sorted(r.title for r in missing.collect()) == ["P2", "P4", "P5", "Two"]
+    assert sorted(r.title for r in missing.collect()) == ["P2", "P4", "P5", "P6", "Two"]
 
 
 def test_a_hit_without_title_is_missing(spark, details):
@@ -100,7 +107,7 @@ def test_a_hit_without_title_is_missing(spark, details):
 def test_job_end_to_end(spark, pages, details, tmp_path, caplog):
     raw, main, copies, report = (str(tmp_path / n) for n in ("raw", "main", "copies", "report"))
     missing = cat.extract(pages, details, raw)
-    assert missing.count() == 4
+    assert missing.count() == 5
     cat.transform(spark, raw, main, copies, report)
     rows = {r.imdbID: r for r in read_parquet(spark, main).collect()}
     assert set(rows) == {"tt1", "tt3"}

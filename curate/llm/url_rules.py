@@ -142,7 +142,8 @@ def judge_pages(
     )
 
 
-#: The same in SQL for DuckDB, with a recursive walk over the links.
+#: The same in SQL for DuckDB, with a recursive walk over the links. It reads absolute
+#: canonical links whose rel comes first; redirects and relative links are left to tests.
 ORACLE_SQL = r"""
 with recursive p as (
   select row_number() over () as r, page_id, url, html,

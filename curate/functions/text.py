@@ -60,7 +60,7 @@ def parse_grouped_int(text: Column) -> Column:
 
 def parse_money(text: Column, sign: str = "$") -> Column:
     """``$460,998,507`` gives 460998507."""
-    return to_int(F.translate(text, f"{sign},", ""))
+    return parse_grouped_int(F.replace(text, F.lit(sign), F.lit("")))
 
 
 def score_text(text: Column) -> Column:

@@ -7,7 +7,7 @@ from curate.operators.analytics import (
     top_k,
     top_n_per_group,
 )
-from curate.operators.changes import classify_changes, history, new_rows, upsert
+from curate.operators.changes import classify_changes, history, new_rows, upsert, write_upsert
 from curate.operators.clean import (
     apply_types,
     clamp_negative,
@@ -35,9 +35,10 @@ from curate.operators.rules import (
     rule_references,
     rule_unique,
 )
-from curate.operators.skew import fits_broadcast, join_unique
+from curate.operators.skew import HotLimits, fits_broadcast, join_unique
 
 __all__ = [
+    "HotLimits",
     "apply_types",
     "check_layout",
     "check_rules",
@@ -75,4 +76,5 @@ __all__ = [
     "upsert",
     "with_audit_time",
     "with_flag",
+    "write_upsert",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curate.operators.skew import fits_broadcast, join_unique, split_hot
+from curate.operators.skew import HotLimits, fits_broadcast, join_unique, split_hot
 
 
 def top_k(df: DataFrame, by: str, k: int = 10, ties: Sequence[str] = ()) -> DataFrame:
@@ -68,18 +68,21 @@ def running_max(
     value: str,
     name: str,
     coarse: Column | None = None,
+    limits: HotLimits | None = None,
 ) -> DataFrame:
     """Largest ``value`` so far in each partition; equal orders share a result.
 
     Ordinary partitions are windowed as they are. Hot ones, which may hold any
     share of the rows, are first reduced to one peak per order value; see
     :func:`_running_max_of_hot`. ``coarse`` is a column that never falls while
-    ``order`` rises, by default the hour of a timestamp.
+    ``order`` rises, by default the hour of a timestamp. ``limits`` says what is hot.
     """
-    ordinary, hot = split_hot(df, partition)
+    ordinary, hot = split_hot(df, partition, limits)
     so_far = Window.partitionBy(*partition).orderBy(order)
     plain = ordinary.withColumn(name, F.max(value).over(so_far))
-    return plain.unionByName(_running_max_of_hot(hot, partition, order, value, name, coarse))
+    return plain.unionByName(
+        _running_max_of_hot(hot, partition, order, value, name, coarse, limits)
+    )
 
 
 def _running_max_of_hot(
@@ -89,6 +92,7 @@ def _running_max_of_hot(
     value: str,
     name: str,
     coarse: Column | None,
+    limits: HotLimits | None,
 ) -> DataFrame:
     """The same result with windows over peaks instead of rows.
 
@@ -136,6 +140,7 @@ def _running_max_of_hot(
         ["__key"],
         counts=peaks.select(key, "__rows"),
         count="__rows",
+        limits=limits,
     )
     return joined.select(*df.columns, name)
 

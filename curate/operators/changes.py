@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from curate.operators.analytics import coarse_step
 from curate.operators.dedup import keep_one
 from curate.operators.skew import join_unique
+from curate.sinks.files import write_parquet
 
 
 def new_rows(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -54,6 +55,17 @@ def upsert(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(keyed).unionByName(keyless)
 
 
+def write_upsert(incoming: DataFrame, target: DataFrame, key: str, path: str) -> DataFrame:
+    """Write the merged table to a fresh folder and read it back.
+
+    The folder must not exist yet, so a target is never written over while it is
+    read; point readers to the new folder once this returns. A second run adds
+    the rows without a key once more.
+    """
+    write_parquet(upsert(incoming, target, key), path, mode="errorifexists")
+    return target.sparkSession.read.schema(target.schema).parquet(path)
+
+
 def history(
     versions: DataFrame,
     key: str,

@@ -34,9 +34,10 @@ def apply_types(df: DataFrame, parsers: Mapping[str, Callable[[Column], Column]]
     return df.withColumns({name: parse(F.col(name)) for name, parse in parsers.items()})
 
 
-def clamp_negative(column: Column) -> Column:
-    """Values below zero become zero; null stays null."""
-    return F.when(column < 0, F.lit(0).cast("double")).otherwise(column.cast("double"))
+def clamp_negative(df: DataFrame, column: str) -> DataFrame:
+    """Values below zero become zero; null stays null and the column keeps its type."""
+    value, dtype = F.col(f"`{column}`"), df.schema[column].dataType
+    return df.withColumn(column, F.when(value < 0, F.lit(0).cast(dtype)).otherwise(value))
 
 
 def fill_with_mean(df: DataFrame, column: str, flag: str | None = None) -> DataFrame:

@@ -96,6 +96,11 @@ def split_duplicates(
 
 
 def label_quarantine(copies: DataFrame, df: DataFrame, key: str) -> DataFrame:
-    """Copies and rows without a key, each with its reason."""
+    """Copies and rows without a key, each with its reason.
+
+    A table that has a column of that name already is refused.
+    """
+    if REASON in df.columns:
+        raise ValueError(f"the table has a column {REASON!r} of its own; rename it first")
     missing = df.filter(F.col(key).isNull()).withColumn(REASON, F.lit(MISSING))
     return copies.withColumn(REASON, F.lit(REPEATED)).unionByName(missing)

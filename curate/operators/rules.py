@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curate.operators.dedup import repeated_keys
-from curate.operators.skew import join_unique
+from curate.operators.skew import count_rows_by
 
 logger = logging.getLogger(__name__)
 
@@ -90,9 +90,13 @@ def _one_result(failed: DataFrame, rule: str, column: str) -> DataFrame:
 
 
 def _orphans(df: DataFrame, rule: ReferenceRule) -> DataFrame:
+    """Values are counted before they are looked up, so no row travels and no key is hot."""
     values = df.select(F.col(rule.column).alias("value")).dropna()
-    known = rule.target.select(F.col(rule.target_column).alias("value")).dropna().distinct()
-    return join_unique(values, known, ["value"], "left_anti")
+    known = rule.target.select(F.col(rule.target_column).alias("value")).distinct()
+    missing = count_rows_by(values, ["value"], "rows").join(known, "value", "left_anti")
+    return missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failed_rows")).select(
+        F.lit(rule.rule).alias("rule"), F.lit(rule.column).alias("column"), "failed_rows"
+    )
 
 
 def check_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
@@ -104,7 +108,7 @@ def check_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         if isinstance(r, UniqueRule):
             results.append(_one_result(repeated_keys(df, r.column), r.rule, r.column))
         elif isinstance(r, ReferenceRule):
-            results.append(_one_result(_orphans(df, r), r.rule, r.column))
+            results.append(_orphans(df, r))
     if not results:
         raise ValueError("no rules given")
     table = reduce(DataFrame.unionByName, results)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,16 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_PARTS = 10_000
 HOT_ROWS = 100_000
 
+
+
+@dataclass(frozen=True)
+class HotLimits:
+    """A key is hot above ``rows`` rows and above one in ``parts`` of all rows."""
+
+    rows: int
+    parts: int
+
+
 _COUNT = "__rows"
 _PARTS = "__parts"
 _PART = "__part"
@@ -44,20 +55,25 @@ def count_rows_by(df: DataFrame, keys: Sequence[str], name: str = _COUNT) -> Dat
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], count: str = _COUNT) -> DataFrame:
+def hot_keys(
+    counts: DataFrame, keys: Sequence[str], count: str = _COUNT, limits: HotLimits | None = None
+) -> DataFrame:
     """Keys above the hot share, with the number of parts to spread each over.
 
-    There are fewer than ``HOT_PARTS`` of them, and their parts add up to less
-    than ``2 * HOT_PARTS``: that is the proven bound for broadcasting the list.
+    There are fewer than ``parts`` of them, and their parts add up to less
+    than twice that: it is the proven bound for broadcasting the list.
     """
+    limits = limits or HotLimits(HOT_ROWS, HOT_PARTS)
     total = counts.agg(F.sum(count)).scalar()
-    share = F.col(count) * F.lit(HOT_PARTS)
-    return counts.filter((F.col(count) > HOT_ROWS) & (share > total)).select(
+    share = F.col(count) * F.lit(limits.parts)
+    return counts.filter((F.col(count) > limits.rows) & (share > total)).select(
         *keys, F.ceil(share / total).cast("int").alias(_PARTS)
     )
 
 
-def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def split_hot(
+    df: DataFrame, keys: Sequence[str], limits: HotLimits | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of hot keys; null is a key like others.
 
     No ordinary key holds more than the hot share of the rows. Where no key is
@@ -65,7 +81,7 @@ def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]
     """
     marked = df.withColumn("__group", F.struct(*keys))
     counts = count_rows_by(marked, ["__group"])
-    hot = F.broadcast(hot_keys(counts, ["__group"]).select("__group"))
+    hot = F.broadcast(hot_keys(counts, ["__group"], limits=limits).select("__group"))
     ordinary = marked.join(hot, "__group", "left_anti").drop("__group")
     return ordinary, marked.join(hot, "__group", "left_semi").drop("__group")
 
@@ -77,19 +93,20 @@ def join_unique(
     how: str = "inner",
     counts: DataFrame | None = None,
     count: str = _COUNT,
+    limits: HotLimits | None = None,
 ) -> DataFrame:
     """Join ``left`` with a ``right`` that has one row per key.
 
     Every hot key of ``left`` is cut into parts by the input partition its rows
     come from, and its row in ``right`` is repeated once per part, so no task
-    receives a whole hot key; rows with a null key are spread too. ``counts`` gives the rows per key where the caller
-    has them already. ``how`` is inner, left, left_semi or left_anti.
+    receives a whole hot key; rows with a null key are spread too. ``counts`` gives
+    the rows per key where the caller has them already. ``how`` is inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_unique cannot do a {how!r} join")
     if counts is None:
         counts = count_rows_by(left.dropna(subset=list(keys)), keys, count)
-    hot = F.broadcast(hot_keys(counts, keys, count))
+    hot = F.broadcast(hot_keys(counts, keys, count, limits))
     own_part = F.pmod(F.spark_partition_id(), F.col(_PARTS))
     # A null key matches nothing, so its rows may go to any part.
     keyless = F.lit(False)

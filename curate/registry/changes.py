@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curate.operators import classify_changes, history, new_rows, upsert
+from curate.operators import classify_changes, history, new_rows, upsert, write_upsert
 from curate.registry.entries import Registry, table
+from curate.sinks import shared_folder
 
 REGISTRY = Registry()
 
@@ -58,6 +59,45 @@ def upserted(spark, sf_dir):
     return upsert(incoming(spark, sf_dir), target(spark, sf_dir), "c_custkey")
 
 
+@REGISTRY.query(
+    f"""with {TABLES} select * from incoming union all
+    select * from target where c_custkey not in (select c_custkey from incoming)"""
+)
+def upsert_written(spark, sf_dir):
+    path = f"{shared_folder(spark)}/customers"
+    return write_upsert(incoming(spark, sf_dir), target(spark, sf_dir), "c_custkey", path)
+
+
+# Three in four incoming rows have no key.
+KEYLESS = f"""{TABLES}, keyless as (
+    select case when c_custkey % 4 = 0 then c_custkey end as c_custkey, c_name, c_acctbal
+    from incoming)"""
+
+
+def keyless(spark, sf_dir):
+    key = F.when(F.col("c_custkey") % 4 == 0, F.col("c_custkey"))
+    return incoming(spark, sf_dir).withColumn("c_custkey", key)
+
+
+@REGISTRY.query(
+    f"""with {KEYLESS} select * from keyless k
+    where not exists (select 1 from target t where t.c_custkey = k.c_custkey)"""
+)
+def increment_keyless(spark, sf_dir):
+    return new_rows(keyless(spark, sf_dir), target(spark, sf_dir), "c_custkey")
+
+
+@REGISTRY.query(
+    f"""with {KEYLESS} select k.*, case when t.c_custkey is null then 'new'
+      when k.c_name is not distinct from t.c_name
+        and k.c_acctbal is not distinct from t.c_acctbal then 'same'
+      else 'changed' end as action
+    from keyless k left join target t on k.c_custkey = t.c_custkey"""
+)
+def change_actions_keyless(spark, sf_dir):
+    return classify_changes(keyless(spark, sf_dir), target(spark, sf_dir), "c_custkey")
+
+
 @REGISTRY.query(
     """with one as (
       select o_custkey, o_orderdate::date as day, min(o_orderstatus) as o_orderstatus

@@ -231,6 +231,22 @@ def transform_written(spark, sf_dir):
     return read_parquet(spark, main)
 
 
+@REGISTRY.query(
+    f"""with {STAGES}
+    select {output_sql()},
+      case when "imdbID" is null then 'missing key' else 'repeated key' end as reason
+    from typed where "imdbID" is null
+      or "imdbID" in (select "imdbID" from typed group by 1 having count(*) > 1)"""
+)
+def quarantine_written(spark, sf_dir):
+    """The quarantine that the transform stage wrote, read back."""
+    folder = shared_folder(spark)
+    raw, main, copies = (f"{folder}/{name}" for name in ("raw", "main", "quarantine"))
+    write_parquet(derived(spark, sf_dir, "catalogue"), raw)
+    cat.transform(spark, raw, main, copies)
+    return read_parquet(spark, copies)
+
+
 @REGISTRY.query(
     f"""with {STAGES}, main as ({first_rows_sql("typed", "imdbID", OUTPUT)})
     select * replace ("imdbRating"::float as "imdbRating", "Metacritic"::float as "Metacritic")

@@ -16,6 +16,7 @@ from curate.operators import (
     top_n_per_group,
 )
 from curate.operators.clean import clamp_negative, fill_with_mean, with_flag
+from curate.operators.skew import HotLimits
 from curate.plans import music, sales
 from curate.registry.cleaning import int_sql
 from curate.registry.derived import derived, derived_sql
@@ -189,11 +190,38 @@ def longest_lead(spark, sf_dir):
     max(value) over (partition by event_type order by ts) as highest from events"""
 )
 def events_running_max(spark, sf_dir):
-    """Few event types and fine time stamps: every group is a large one."""
+    """Few event types and fine time stamps."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     return running_max(events, ["event_type"], "ts", "value", "highest")
 
 
+#: Under these limits every event type is hot, at any size of the table.
+ALL_HOT = HotLimits(rows=0, parts=1000)
+
+
+@REGISTRY.query(
+    """select event_id, ts, event_type, value,
+    max(value) over (partition by event_type order by ts) as highest from events"""
+)
+def events_running_max_hot(spark, sf_dir):
+    """The same by peaks and carried values, as for types that a task cannot hold."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    return running_max(events, ["event_type"], "ts", "value", "highest", limits=ALL_HOT)
+
+
+@REGISTRY.query(
+    """select event_id, event_type, value,
+    max(value) over (partition by event_type) as peak from events"""
+)
+def events_with_peak_hot(spark, sf_dir):
+    """Each event beside the peak of its type, by a join that spreads every type."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    peaks = events.groupBy("event_type").agg(F.max("value").alias("peak"))
+    return join_unique(events, peaks, ["event_type"], limits=ALL_HOT).select(
+        "event_id", "event_type", "value", "peak"
+    )
+
+
 @REGISTRY.query(
     """select c_nationkey as category, c_custkey, c_name, c_mktsegment, n_name as department
     from customer join nation on c_nationkey = n_nationkey"""
@@ -280,7 +308,7 @@ def clamped_balances(spark, sf_dir):
         "c_custkey", F.col("c_acctbal").alias("balance")
     )
     flagged = with_flag(customers, "low", F.col("balance") < 1000)
-    return flagged.withColumn("balance", clamp_negative(F.col("balance")))
+    return clamp_negative(flagged, "balance")
 
 
 @REGISTRY.query(

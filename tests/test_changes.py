@@ -6,6 +6,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from curate import operators as op
@@ -76,3 +77,30 @@ def test_history(spark, one_step):
     df = spark.createDataFrame(rows, "k string, at timestamp_ntz, v string")
     found = op.history(df, "k", "at", ["v"], F.lit(0) if one_step else None)
     assert bag(found) == brute_history(rows)
+
+
+def test_written_upsert_needs_a_fresh_folder(spark, tmp_path):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    incoming = spark.createDataFrame([(2, "c"), (None, "d")], "k int, v string")
+    path = str(tmp_path / "merged")
+    written = op.write_upsert(incoming, target, "k", path)
+    assert sorted(map(tuple, written.collect()), key=str) == [(1, "a"), (2, "c"), (None, "d")]
+    with pytest.raises(AnalysisException):
+        op.write_upsert(incoming, target, "k", path)
+
+
+def test_keyless_rows_do_not_share_a_task(spark):
+    hashed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in hashed}
+    try:
+        for k, v in hashed.items():
+            spark.conf.set(k, v)
+        incoming = spark.range(40_000).selectExpr("if(id % 4 = 0, id, null) as k", "id as v")
+        target = spark.range(0, 40_000, 8).selectExpr("id as k", "id as v")
+        found = op.classify_changes(incoming, target, "k")
+        sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in sizes) == 40_000
+    assert max(r["count"] for r in sizes) < 2 * 40_000 / 8

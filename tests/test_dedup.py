@@ -184,3 +184,9 @@ def test_label_quarantine_names_the_reason(spark):
     assert {(r.k, r.reason) for r in labelled.collect()} == {
         ("x", "repeated key"), (None, "missing key"),
     }
+
+
+def test_a_reason_column_of_its_own_is_refused(spark):
+    df = spark.createDataFrame([("x", "mine")], "k string, reason string")
+    with pytest.raises(ValueError, match="reason"):
+        op.split_duplicates(df, "k")

@@ -58,6 +58,7 @@ def test_to_int_agrees_with_the_lenient_cast(spark):
         (lambda c: fn.parse_unit(c, " min"), {"121 min": 121, "121": 121, "N/A": None}),
         (lambda c: fn.parse_unit(c, "%"), {"93%": 93, None: None}),
         (fn.parse_grouped_int, {"1,234,567": 1234567, "12": 12, "N/A": None}),
+        (lambda c: fn.parse_money(c, "EUR "), {"EUR 1,200": 1200, "RUE 7": None}),
         (fn.parse_money, {"$460,998,507": 460998507, "0": 0, "$2,923,706,026": None}),
         (fn.parse_score, {"74/100": Decimal("74.0"), "8.1/10": Decimal("8.1"), "100/100": None, "0": Decimal("0.0")}),
         (fn.score_text, {"8.1/10": "8.1", "N/A": "N"}),

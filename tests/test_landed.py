@@ -17,16 +17,16 @@ def page(*titles, response="True"):
 
 
 PAGES = [
-    ("star", 1, page("One", "Two")),
-    ("star", 2, page("Three")),
-    ("star", 2, page("Three")),
-    ("star", 3, page(response="False")),
-    ("star", 4, page("Never")),
-    ("love", 1, page("One")),
-    ("love", 3, page("Never")),
-    ("man", 1, '{"Response": "True", "Search": [{"Ti'),
-    ("man", 2, page("Never")),
-    ("dark", 2, page("Never")),
+    ("sand", 1, page("One", "Two")),
+    ("sand", 2, page("Three")),
+    ("sand", 2, page("Three")),
+    ("sand", 3, page(response="False")),
+    ("sand", 4, page("Never")),
+    ("lush", 1, page("One")),
+    ("lush", 3, page("Never")),
+    ("dune", 1, '{"Response": "True", "Search": [{"Ti'),
+    ("dune", 2, page("Never")),
+    ("mist", 2, page("Never")),
     ("long", 1, page("P1")), ("long", 2, page("P2")), ("long", 3, page("P3")),
     ("long", 4, page("P4")), ("long", 5, page("P5")), ("long", 6, page("P6")),
     ("null", 1, None),
@@ -45,8 +45,8 @@ def found(df):
 def test_search_stops_at_the_first_bad_page(pages):
     assert found(search_hits(pages, max_pages=5)) == [
         ("long", 1, 0, "P1"), ("long", 2, 0, "P2"), ("long", 3, 0, "P3"), ("long", 4, 0, "P4"),
-        ("long", 5, 0, "P5"), ("love", 1, 0, "One"), ("star", 1, 0, "One"), ("star", 1, 1, "Two"),
-        ("star", 2, 0, "Three"),
+        ("long", 5, 0, "P5"), ("lush", 1, 0, "One"), ("sand", 1, 0, "One"), ("sand", 1, 1, "Two"),
+        ("sand", 2, 0, "Three"),
     ]
     every = found(search_hits(pages))
     assert ("long", 6, 0, "P6") in every and len(every) == 10

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import logging
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -105,8 +106,24 @@ def test_mean_clamp_flag_audit(spark):
     assert [tuple(r) for r in filled.orderBy("id").collect()] == [
         (1, -2.0, False), (2, 2.0, True), (3, 6.0, False),
     ]
-    clamped = df.select("id", op.clamp_negative(F.col("v")).alias("v")).orderBy("id")
+    clamped = op.clamp_negative(df, "v").select("id", "v").orderBy("id")
     assert [r.v for r in clamped.collect()] == [0.0, None, 6.0]
     flagged = op.with_flag(df, "high", F.col("v") > 5).orderBy("id")
     assert [r.high for r in flagged.collect()] == [False, False, True]
     assert op.with_audit_time(df).filter(F.col("loaded_at").isNotNull()).count() == 3
+
+
+def test_clamping_keeps_the_type(spark):
+    df = spark.sql("select cast(v as decimal(20,2)) as v from values ('12345678901234567.25'), ('-1'), (null) t(v)")
+    clamped = op.clamp_negative(df, "v")
+    assert clamped.schema == df.schema
+    assert {r.v for r in clamped.collect()} == {Decimal("12345678901234567.25"), Decimal(0), None}
+
+
+def test_a_reference_rule_counts_rows_not_values(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "k int")
+    known = spark.createDataFrame([(2,), (2,), (None,)], "k int")
+    found = op.check_rules(df, [op.rule_references("k", known, "k")]).first()
+    assert (found.failed_rows, found.status) == (3, "warn")
+    none = op.check_rules(df.limit(0), [op.rule_references("k", known, "k")]).first()
+    assert (none.failed_rows, none.status) == (0, "ok")

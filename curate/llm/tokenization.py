@@ -1,25 +1,37 @@
-"""Token ids of whole texts by a tokenizer file, with a cache of words.
+"""Token ids of whole texts by a tokenizer file, with a cache of parts of texts.
 
 A byte-level tokenizer never joins across the step from a non-blank character to a space
-or line feed, nor from a single line feed to a non-blank, so a text may be cut there and
-the parts encoded one by one, with the same ids. Words repeat, so each worker keeps the
-ids of parts it has met and asks the library for the others only. Frequent parts are met
-early; once the cache is full, further ones are encoded each time they come.
+or line feed, nor from a letter to ASCII punctuation, so a text may be cut there and the
+parts encoded one by one, with the same ids. Parts repeat, so each worker keeps the ids of
+those it has met and asks the library for the others only. Frequent parts are met early;
+once the cache is full, further ones are encoded each time they come.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-CACHE_ENTRIES = 650_000
+CACHE_ENTRIES = 1_000_000
 CACHE_LENGTH = 64
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 16 << 20
+
+#: A word of Latin letters up to a space, line feed, ASCII punctuation or the end; else
+#: blanks and what follows, up to a space or line feed that a non-blank precedes. Other
+#: blanks do not end a part, as libraries disagree on what is one.
+PART = re.compile(
+    r"[ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[ \n!-/:-@\[-`{-~]|\Z)"
+    r"|\s*\S+(?:[^\S \n]\s*\S*)*"
+    r"|\s+"
+)
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -37,53 +49,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        #: By part: one that begins with a line feed, or else follows a space.
         self.parts: dict[str, bytes] = {}
-        self.line_feed = int(self._ids("\n")[0])
-
-    def _ids(self, text: str) -> np.ndarray:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.frombuffer(array("I", found), dtype="<u4")
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words, each with or without a space before it. They are encoded as the
-        lines of one text; the ids of the line feeds part them."""
-        ids = self._ids("\n".join(words))
-        ends = [*np.flatnonzero(ids == self.line_feed).tolist(), len(ids)]
-        if len(ends) != len(words):
-            raise ValueError("this tokenizer joins across line feeds")
-        data, starts = ids.tobytes(), [0, *(e + 1 for e in ends)]
-        return [data[4 * a : 4 * e] for a, e in zip(starts, ends)]  # noqa: B905
 
-    def _encode_group(self, texts: list[str]) -> list[bytes]:
-        cut = [text.replace("\n", " \n").split(" ") for text in texts]
-        new: set[str] = set()
-        for parts in cut:
-            new.update(set(parts[1:]).difference(self.parts))
-        # Parts with more than one line feed or other blanks need their whole text.
-        odd = {p for p in new if (body := p.removeprefix("\n")).split() != [body]}
-        whole = [
-            parts[0].split() != [parts[0]] or (bool(odd) and not odd.isdisjoint(parts[1:]))
-            for parts in cut
-        ]
-        fresh = list(new - odd)
-        firsts = [parts[0] for parts, alone in zip(cut, whole, strict=True) if not alone]
-        words = [p[1:] if p[0] == "\n" else " " + p for p in fresh] + firsts
-        ids = self._words(words) if words else []
-        feed = self.line_feed.to_bytes(4, "little")
-        for p, own in zip(fresh, ids[: len(fresh)], strict=True):
-            self.parts[p] = feed + own if p[0] == "\n" else own
-        get, heads = self.parts.__getitem__, iter(ids[len(fresh) :])
-        coded = [
-            self._ids(text).tobytes() if alone else next(heads) + b"".join(map(get, parts[1:]))
-            for text, parts, alone in zip(texts, cut, whole, strict=True)
-        ]
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of texts, each cut into parts that are known or else encoded together."""
+        cut = [[u] if u in self.parts else PART.findall(u) for u in units]
+        fresh = list(set().union(*cut).difference(self.parts))
+        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        self.parts.update(zip(fresh, (array("I", e.ids).tobytes() for e in found), strict=True))
+        ids = self.parts.__getitem__
+        coded = [b"".join(map(ids, parts)) for parts in cut]
         full = len(self.parts) > CACHE_ENTRIES
-        for p in fresh:
-            if full or len(p) > CACHE_LENGTH:
-                del self.parts[p]
+        for part in fresh:
+            if full or len(part) > CACHE_LENGTH:
+                del self.parts[part]
         return coded
 
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        """Cuts texts at single spaces and line feeds and encodes each distinct word once.
+
+        The first word of a text stands as it is, others follow a space or begin with the
+        line feed. A text with a word that is empty or ends blank is encoded apart.
+        """
+        if not texts:
+            return []
+        column = pa.array(texts, pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        coded = split.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        bounds = split.offsets.to_numpy()
+        first = bounds[:-1]
+        heads = [words[i] for i in at[first].tolist()]
+        odd_words = np.array([not w or w[-1].isspace() for w in words])[at]
+        odd_words[first] = [h[-1:].isspace() for h in heads]
+        odd = np.logical_or.reduceat(odd_words, first)
+        units = [w if w[:1] == "\n" else " " + w for w in words]
+        empty = len(units)
+        units += ["", *(t if o else h for t, h, o in zip(texts, heads, odd, strict=True))]
+        at[np.repeat(odd, np.diff(bounds))] = empty
+        at[first] = empty + 1 + np.arange(len(texts))
+        ids = pa.array(self._units(units), pa.large_binary()).take(pa.array(at))
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, dtype="<i8")[bounds].tolist()
+        view = memoryview(data) if data else b""
+        return [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]  # noqa: B905
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Bytes of the ids of each text."""
         coded, some, size = [], [], 0

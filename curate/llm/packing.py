@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curate.llm.common import stored
-from curate.llm.tokenization import END_ID, encoder, vocabulary_path
+from curate.llm.tokenization import END_ID, encoder, small_batches, vocabulary_path
 
 CAPACITY = 1024
 GROUP_ROWS = 25_000
@@ -45,10 +45,9 @@ def _pieces(
 ) -> Iterator[pa.RecordBatch]:
     coder = encoder(path)
     end = np.array([END_ID], dtype="<u4").tobytes()
-    for batch in batches:
+    for batch in small_batches(batches):
         rows, crc, tokens = [], [], []
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for at, coded in enumerate(coder.encode(texts)):
+        for at, coded in enumerate(coder.encode(batch.column("text"))):
             ids = coded + end
             for number, (a, b) in enumerate(cuts(len(ids) // 4, capacity)):
                 rows.append((at, number, a, b - a))

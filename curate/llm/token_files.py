@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curate.llm.tokenization import END_ID, encoder, vocabulary_path
+from curate.llm.tokenization import END_ID, encoder, small_batches, vocabulary_path
 
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 << 20),
@@ -35,9 +35,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     """Adds the ids of each text and how many ids precede it in this partition."""
     coder, before = encoder(path), 0
     end = np.array([END_ID], dtype="<u4").tobytes()
-    for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        coded = [ids + end for ids in coder.encode(texts)]
+    for batch in small_batches(batches):
+        coded = [ids + end for ids in coder.encode(batch.column("text"))]
         lengths = np.array([len(c) // 4 for c in coded], dtype=np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         ids = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))

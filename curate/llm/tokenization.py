@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,9 +21,9 @@ import pyarrow.compute as pc
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 CACHE_LENGTH = 64
-GROUP_CHARS = 16 << 20
+GROUP_BYTES = 4 << 20
 
 #: A word of Latin letters up to a space, line feed, ASCII punctuation or the end; else
 #: blanks and what follows, up to a space or line feed that a non-blank precedes. Other
@@ -52,28 +53,34 @@ class Encoder:
         self.parts: dict[str, bytes] = {}
 
     def _units(self, units: list[str]) -> list[bytes]:
-        """Ids of texts, each cut into parts that are known or else encoded together."""
-        cut = [[u] if u in self.parts else PART.findall(u) for u in units]
-        fresh = list(set().union(*cut).difference(self.parts))
+        """Ids of texts, each known or else cut into parts that are encoded together."""
+        parts = self.parts
+        coded = list(map(parts.get, units))
+        missing = [i for i, ids in enumerate(coded) if ids is None]
+        cut = [PART.findall(units[i]) for i in missing]
+        fresh = list(set().union(*cut).difference(parts))
         found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.parts.update(zip(fresh, (array("I", e.ids).tobytes() for e in found), strict=True))
-        ids = self.parts.__getitem__
-        coded = [b"".join(map(ids, parts)) for parts in cut]
-        full = len(self.parts) > CACHE_ENTRIES
+        parts.update(zip(fresh, (array("I", e.ids).tobytes() for e in found), strict=True))
+        for i, of_unit in zip(missing, cut, strict=True):
+            coded[i] = b"".join([parts[p] for p in of_unit])
+        full = len(parts) > CACHE_ENTRIES
         for part in fresh:
             if full or len(part) > CACHE_LENGTH:
-                del self.parts[part]
+                del parts[part]
         return coded
 
-    def _encode_group(self, texts: list[str]) -> list[bytes]:
-        """Cuts texts at single spaces and line feeds and encodes each distinct word once.
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Bytes of the ids of each text; null is empty.
 
+        Cuts texts at single spaces and line feeds and encodes each distinct word once.
         The first word of a text stands as it is, others follow a space or begin with the
         line feed. A text with a word that is empty or ends blank is encoded apart.
         """
-        if not texts:
+        if not len(texts):
             return []
-        column = pa.array(texts, pa.large_string())
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_string())
+        column = texts.cast(pa.large_string()).fill_null("")
         split = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
@@ -85,7 +92,9 @@ class Encoder:
         odd = np.logical_or.reduceat(odd_words, first)
         units = [w if w[:1] == "\n" else " " + w for w in words]
         empty = len(units)
-        units += ["", *(t if o else h for t, h, o in zip(texts, heads, odd, strict=True))]
+        for i in np.flatnonzero(odd).tolist():
+            heads[i] = column[i].as_py()
+        units += ["", *heads]
         at[np.repeat(odd, np.diff(bounds))] = empty
         at[first] = empty + 1 + np.arange(len(texts))
         ids = pa.array(self._units(units), pa.large_binary()).take(pa.array(at))
@@ -94,16 +103,16 @@ class Encoder:
         view = memoryview(data) if data else b""
         return [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]  # noqa: B905
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Bytes of the ids of each text."""
-        coded, some, size = [], [], 0
-        for text in texts:
-            some.append(text)
-            size += len(text)
-            if size > GROUP_CHARS:
-                coded += self._encode_group(some)
-                some, size = [], 0
-        return coded + self._encode_group(some)
+
+def small_batches(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = GROUP_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, or of one longer text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy())
+        starts = np.flatnonzero(np.diff(ends // size, prepend=-1)).tolist()
+        for a, b in zip(starts, [*starts[1:], len(batch)], strict=True):
+            yield batch.slice(a, b - a)
 
 
 @lru_cache(maxsize=1)

@@ -110,8 +110,8 @@ def small_batches(
     """The same rows in batches of about ``size`` bytes of text, or of one longer text."""
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy())
-        starts = np.flatnonzero(np.diff(ends // size, prepend=-1)).tolist()
-        for a, b in zip(starts, [*starts[1:], len(batch)], strict=True):
+        bounds = [*np.flatnonzero(np.diff(ends // size, prepend=-1)).tolist(), len(batch)]
+        for a, b in zip(bounds, bounds[1:]):  # noqa: B905
             yield batch.slice(a, b - a)
 
 

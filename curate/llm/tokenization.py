@@ -4,7 +4,8 @@ A byte-level tokenizer never joins across the step from a non-blank character to
 or line feed, nor from a letter to ASCII punctuation, so a text may be cut there and the
 parts encoded one by one, with the same ids. Parts repeat, so each worker keeps the ids of
 those it has met and asks the library for the others only. Frequent parts are met early;
-once the cache is full, further ones are encoded each time they come.
+once the cache is full, further ones are encoded each time they come. Texts that hold
+an added token, such as the end mark, are encoded by the library as they are.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = "|".join(map(re.escape, added))
         self.parts: dict[str, bytes] = {}
 
     def _units(self, units: list[str]) -> list[bytes]:
@@ -74,7 +76,8 @@ class Encoder:
 
         Cuts texts at single spaces and line feeds and encodes each distinct word once.
         The first word of a text stands as it is, others follow a space or begin with the
-        line feed. A text with a word that is empty or ends blank is encoded apart.
+        line feed. A text with a word that is empty or ends blank is encoded apart, and one
+        with an added token of the tokenizer as a whole.
         """
         if not len(texts):
             return []
@@ -92,8 +95,15 @@ class Encoder:
         odd = np.logical_or.reduceat(odd_words, first)
         units = [w if w[:1] == "\n" else " " + w for w in words]
         empty = len(units)
+        whole: dict[int, bytes] = {}
+        if self.added:
+            special = pc.match_substring_regex(column, self.added).to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(special).tolist():
+                ids = self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids
+                whole[i] = np.array(ids, "<u4").tobytes()
+            odd |= special
         for i in np.flatnonzero(odd).tolist():
-            heads[i] = column[i].as_py()
+            heads[i] = "" if i in whole else column[i].as_py()
         units += ["", *heads]
         at[np.repeat(odd, np.diff(bounds))] = empty
         at[first] = empty + 1 + np.arange(len(texts))
@@ -101,7 +111,10 @@ class Encoder:
         _, offsets, data = ids.buffers()
         ends = np.frombuffer(offsets, dtype="<i8")[bounds].tolist()
         view = memoryview(data) if data else b""
-        return [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]  # noqa: B905
+        out = [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]  # noqa: B905
+        for i, ids in whole.items():
+            out[i] = ids
+        return out
 
 
 def small_batches(

@@ -209,16 +209,17 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> Dat
 
 
 def realise(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents themselves, each as often as the schedule reads it.
+    """The documents themselves, each as often as the schedule reads it, in the order of
+    block and position.
 
     Rows with equal id and text are one document here, with the reads of all of them.
     """
     named = keyed(docs, key, text)
     reads = schedule(named.select(key, "source", counted(docs, text), "__id", "__th"), mix, key)
-    copies = reads.groupBy("__id", "__th").agg(F.count("*").cast("int").alias("__copies"))
+    places = stored(reads.select("__id", "__th", "block", "position"), "places")
     return (
-        named.join(copies, ["__id", "__th"])
-        .dropDuplicates(["__id", "__th"])
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .drop("__id", "__th", "__copies", "__copy")
+        named.dropDuplicates(["__id", "__th"])
+        .join(places.withColumnsRenamed({"block": "__block", "position": "__position"}), ["__id", "__th"])
+        .orderBy("__block", "__position")
+        .drop("__id", "__th", "__block", "__position")
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from curate.llm import near_copies
+from curate.llm import mixing, near_copies
+from curate.llm.tokenization import END_ID, encoder, vocabulary_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -75,3 +78,37 @@ def test_near_duplicates_of_one_large_group(spark, monkeypatch):
     texts = [(i, " ".join(edited(rng, words, int(rng.integers(3, 9))))) for i in range(80)]
     kept = corpus_pipeline.near_duplicates(spark, documents(spark, texts), "").collect()
     assert {r.doc_id for r in kept} == survivors(texts)
+
+
+def test_mixing_follows_the_schedule_of_op1(spark):
+    """Skewed sources: as many reads as op1's schedule has, in its order."""
+    texts = [(i, " ".join(f"t{i}x{j}" for j in range(20))) for i in range(300)]
+    rows = [(i, t, "en", "big" if i < 240 else f"s{i % 6}", len(t)) for i, t in texts]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.mix_documents(docs, mixing.Mix()).orderBy("block", "position").collect()
+    got = corpus_pipeline.mix(spark, docs, "").collect()
+    assert [r.doc_id for r in got] == [r.doc_id for r in plan]
+
+
+def test_packing_places_every_piece(spark):
+    """Every id of every text is in one place, and no sequence overflows or has a gap."""
+    texts = [(i, " ".join(f"p{j}" for j in range(i * 7))) for i in range(60)] + [(60, None)]
+    got = corpus_pipeline.pack(spark, documents(spark, texts), "").collect()
+    e, end = encoder(vocabulary_path()), np.array([END_ID], "<u4").tobytes()
+    expected = {}
+    for doc, text in texts:
+        ids = np.array(e.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() + end
+        expected[doc] = ids
+    seen, places = {doc: 0 for doc, _ in texts}, {}
+    for r in got:
+        part = expected[r.doc_id][4 * r.start : 4 * (r.start + r.length)]
+        assert zlib.crc32(part) == r.ids_crc32
+        seen[r.doc_id] += r.length
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert seen == {doc: len(ids) // 4 for doc, ids in expected.items()}
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curate.llm import (
+    decontamination,
     lattice,
     line_dedup,
     mixing,
     neighbours,
     packing,
+    periodic_runs,
     quality_rules,
     rule_ensemble,
     simhash,
+    spelling,
     token_files,
     url_rules,
 )
@@ -81,6 +84,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spelling.spelling_variants(docs, rewrite=spelling.slipped)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.run_report(docs, rewrite=periodic_runs.planted)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(docs, items)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +110,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_mixing, op2_token_files, op3_neighbours, op4_packing, op5_quality_rules,
-            op6_simhash, op7_lattice, op8_url_rules, op9_rule_ensemble, op10_line_dedup, pipeline,
+            op6_simhash, op7_lattice, op8_url_rules, op9_rule_ensemble, op10_line_dedup,
+            op11_spelling, op12_periodic_runs, op13_decontamination, pipeline,
         )
     }
 
@@ -102,4 +121,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_url_rules": url_rules.ORACLE_SQL,
         "op5_quality_rules": quality_rules.ORACLE_SQL,
         "op10_line_dedup": line_dedup.ORACLE_SQL,
+        "op13_decontamination": decontamination.ORACLE_SQL,
     }

@@ -7,7 +7,15 @@ from curate.operators.analytics import (
     top_k,
     top_n_per_group,
 )
-from curate.operators.changes import classify_changes, history, new_rows, upsert, write_upsert
+from curate.operators.changes import (
+    as_of,
+    classify_changes,
+    history,
+    merge_history,
+    new_rows,
+    upsert,
+    write_upsert,
+)
 from curate.operators.clean import (
     apply_types,
     clamp_negative,
@@ -35,11 +43,13 @@ from curate.operators.rules import (
     rule_references,
     rule_unique,
 )
+from curate.operators.ranges import last_known
 from curate.operators.skew import HotLimits, fits_broadcast, join_unique
 
 __all__ = [
     "HotLimits",
     "apply_types",
+    "as_of",
     "check_layout",
     "check_rules",
     "clamp_negative",
@@ -53,9 +63,11 @@ __all__ = [
     "in_order",
     "join_unique",
     "keep_one",
+    "last_known",
     "log_rules",
     "mean_and_sum_by",
     "mean_by",
+    "merge_history",
     "new_rows",
     "profile_columns",
     "profile_stages",

@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from curate.operators.skew import HotLimits, fits_broadcast, join_unique, split_hot
+from curate.operators.ranges import by_ranges, carried_max, top_of_large_groups
+from curate.operators.skew import HotLimits, fits_broadcast, has_hot_keys, join_unique, split_hot
+
+
+#: The largest n for which Spark cuts groups before the shuffle.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k(df: DataFrame, by: str, k: int = 10, ties: Sequence[str] = ()) -> DataFrame:
@@ -39,28 +43,23 @@ def top_n_per_group(
     n: int,
     ties: Sequence[str] = (),
     rank_name: str = "rank",
+    ranges: int | None = None,
 ) -> DataFrame:
     """The n rows with the largest ``by`` in each group, numbered from 1.
 
-    The filter on the row number lets each task cut its rows to n per group
-    before the shuffle, so a group may be of any size.
+    Up to Spark's group limit the filter on the row number lets each task cut its
+    rows to n per group before the shuffle. Beyond it whole groups would be sorted
+    in one task; there ranges are counted, see
+    :func:`curate.operators.ranges.top_of_large_groups`. A group may be of any size.
     """
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT)):
+        return top_of_large_groups(df, group, by, n, ties, rank_name, ranges)
     window = Window.partitionBy(*group).orderBy(F.desc_nulls_last(by), *ties)
     return df.withColumn(rank_name, F.row_number().over(window)).filter(
         F.col(rank_name) <= n
     )
 
 
-def coarse_step(df: DataFrame, order: str) -> Column | None:
-    """The hour of a timestamp; other orders have no coarser step by default."""
-    dtype = df.schema[order].dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.date_trunc("hour", F.col(order))
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.struct(F.to_date(order).alias("day"), F.hour(order).alias("hour"))
-    return None
-
-
 def running_max(
     df: DataFrame,
     partition: Sequence[str],
@@ -69,19 +68,23 @@ def running_max(
     name: str,
     coarse: Column | None = None,
     limits: HotLimits | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Largest ``value`` so far in each partition; equal orders share a result.
 
     Ordinary partitions are windowed as they are. Hot ones, which may hold any
     share of the rows, are first reduced to one peak per order value; see
-    :func:`_running_max_of_hot`. ``coarse`` is a column that never falls while
-    ``order`` rises, by default the hour of a timestamp. ``limits`` says what is hot.
+    :func:`_running_max_of_hot`. Whether there are any is measured first. ``limits``
+    says what is hot, ``ranges`` into how many ranges peaks are dealt out;
+    ``coarse``, a column that never falls while ``order`` rises, replaces them.
     """
-    ordinary, hot = split_hot(df, partition, limits)
     so_far = Window.partitionBy(*partition).orderBy(order)
+    if not has_hot_keys(df, partition, limits):
+        return df.withColumn(name, F.max(value).over(so_far))
+    ordinary, hot = split_hot(df, partition, limits)
     plain = ordinary.withColumn(name, F.max(value).over(so_far))
     return plain.unionByName(
-        _running_max_of_hot(hot, partition, order, value, name, coarse, limits)
+        _running_max_of_hot(hot, partition, order, value, name, coarse, limits, ranges)
     )
 
 
@@ -93,22 +96,23 @@ def _running_max_of_hot(
     name: str,
     coarse: Column | None,
     limits: HotLimits | None,
+    ranges: int | None,
 ) -> DataFrame:
     """The same result with windows over peaks instead of rows.
 
-    Peaks combine before the shuffle. Inside each coarse step they are windowed
-    on their own, and one carried value per step links the steps. So a window
-    holds the distinct order values of one step, or the distinct steps of one
-    partition. Peaks join back to the rows with hot order values spread.
+    Peaks combine before the shuffle and are dealt out by ranges of partition and
+    order, or by coarse steps. Each range or step is windowed on its own, and one
+    carried value links it to those before. So a window holds the distinct order
+    values of a range, or one row per range of a partition. Peaks join back to the
+    rows with hot order values spread.
     """
     keys = [*partition, order]
-    coarse = coarse if coarse is not None else coarse_step(df, order)
     peaks = df.groupBy(*keys).agg(
         F.max(value).alias("__peak"), F.count("*").alias("__rows")
     )
     if coarse is None:
-        so_far = Window.partitionBy(*partition).orderBy(order)
-        running = peaks.withColumn(name, F.max("__peak").over(so_far))
+        peaks = by_ranges(peaks, keys, ranges)
+        running = carried_max(peaks, partition, order, "__peak", name)
     else:
         step = [*partition, "__step"]
         in_step = Window.partitionBy(*step).orderBy(order)

@@ -10,9 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.operators.analytics import coarse_step
 from curate.operators.dedup import keep_one
-from curate.operators.skew import join_unique
+from curate.operators.ranges import RANGE, by_ranges, last_known
+from curate.operators.skew import HotLimits, has_hot_keys, join_unique
 from curate.sinks.files import write_parquet
 
 
@@ -72,29 +72,104 @@ def history(
     at: str,
     values: Sequence[str],
     coarse: Column | None = None,
+    limits: HotLimits | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Validity intervals: (key, values..., valid_from, valid_to).
 
     Versions of a key with the same time are reduced to one, and a version
-    equal to the one before it opens no interval. The last interval is open.
-    ``coarse`` cuts long histories into steps, as in ``running_max``.
+    equal to the one before it opens no interval. The last interval is open. Rows
+    without a key are the history of one more key. Where a key is hot, which is
+    measured, versions are dealt out by ranges of key and time and linked from
+    range to range; ``coarse`` cuts histories into steps of its own instead.
     """
-    state = F.struct(*values)
     one = keep_one(versions.select(key, at, *values), [key, at]).select(
-        key, at, state.alias("__state")
+        key, at, F.struct(*values).alias("__state")
     )
-    coarse = coarse if coarse is not None else coarse_step(versions, at)
-    if coarse is None:
-        coarse = F.lit(0)
-    changes = _previous(one, key, at, "__state", coarse).filter(
-        F.col("__before").isNull() | (F.col("__before") != F.col("__state"))
-    )
-    ends = _next(changes.drop("__before"), key, at, coarse)
+    unlike = F.col("__before").isNull() | (F.col("__before") != F.col("__state"))
+    if coarse is None and not has_hot_keys(versions, [key], limits):
+        in_time = Window.partitionBy(key).orderBy(at)
+        changes = one.withColumn("__before", F.lag("__state").over(in_time)).filter(unlike)
+        ends = changes.withColumn("__after", F.lead(at).over(in_time))
+    else:
+        if coarse is None:
+            one, coarse = by_ranges(one, [key, at], ranges), F.col(RANGE)
+        changes = _previous(one, key, at, "__state", coarse).filter(unlike)
+        ends = _next(changes.drop("__before"), key, at, coarse)
     return ends.select(
         key, "__state.*", F.col(at).alias("valid_from"), F.col("__after").alias("valid_to")
     )
 
 
+def merge_history(
+    held: DataFrame,
+    versions: DataFrame,
+    late: DataFrame,
+    key: str,
+    at: str,
+    values: Sequence[str],
+    limits: HotLimits | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """The intervals ``held`` of ``versions`` after ``late`` versions of any time came in.
+
+    Keys without a late version keep their intervals as they are; for the others, null
+    included, the intervals are found anew from all their versions. Intervals alone
+    would not do: a version that repeated the state before it opened none, but counts
+    once a late one comes between.
+    """
+    touched = late.select(F.struct(key).alias("__key")).distinct()
+    columns = [key, at, *values]
+
+    def of_touched(df: DataFrame, how: str) -> DataFrame:
+        marked = df.withColumn("__key", F.struct(key))  # equal on null, unlike the key itself
+        return join_unique(marked, touched, ["__key"], how, limits=limits).select(*df.columns)
+
+    again = of_touched(versions.select(*columns), "left_semi").unionByName(late.select(*columns))
+    found = history(again, key, at, values, limits=limits, ranges=ranges)
+    return of_touched(held.select(*found.columns), "left_anti").unionByName(found)
+
+
+def as_of(
+    rows: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    values: Sequence[str],
+    limits: HotLimits | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """The rows with the state their key had at their time: ``values`` of the last version
+    that is not later, null where there is none.
+
+    Both tables have the columns ``key`` and ``at``. Versions of a key with the same
+    time are reduced to one, as in ``history``. Rows without a key or a time have no
+    state. Rows and versions are sorted together, so neither side has to fit anywhere;
+    hot keys are dealt out by ranges of time.
+    """
+    if clash := set(values) & set(rows.columns):
+        raise ValueError(f"the rows have columns {sorted(clash)} already")
+    there = F.col(key).isNotNull() & F.col(at).isNotNull()
+    one = keep_one(versions.filter(there).select(key, at, *values), [key, at])
+    state, row = F.struct(*values), F.struct(*rows.columns)
+    kind = rows.select(row.alias("row")).schema["row"].dataType
+    both = one.select(
+        key, at, F.lit(0).alias("__side"), F.lit(None).cast(kind).alias("__row"), state.alias("__state")
+    )
+    state_kind = both.schema["__state"].dataType
+    nothing = F.lit(None).cast(state_kind)
+    asked = rows.filter(there).select(
+        key, at, F.lit(1).alias("__side"), row.alias("__row"), nothing.alias("__state")
+    )
+    known = last_known(
+        both.unionByName(asked), [key], [at, "__side"], "__state", "__known", limits, ranges
+    )
+    found = known.filter(F.col("__side") == 1).select("__row.*", "__known.*")
+    return found.unionByName(
+        rows.filter(~there).withColumns({v: F.lit(None).cast(state_kind[v].dataType) for v in values})
+    )
+
+
 def _linked(df: DataFrame, per_step: DataFrame, key: str) -> DataFrame:
     step = F.struct(key, "__step").alias("__link")
     return df.withColumn("__link", step).join(per_step, "__link").drop("__link")

@@ -71,6 +71,14 @@ def hot_keys(
     )
 
 
+def has_hot_keys(df: DataFrame, keys: Sequence[str], limits: HotLimits | None = None) -> bool:
+    """Whether some key, null included, holds a hot share of the rows. Runs one small job."""
+    limits = limits or HotLimits(HOT_ROWS, HOT_PARTS)
+    seen = count_rows_by(df, keys).agg(F.max(_COUNT).alias("most"), F.sum(_COUNT).alias("all")).first()
+    most = seen["most"] or 0
+    return most > limits.rows and most * limits.parts > seen["all"]
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], limits: HotLimits | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -50,6 +50,7 @@ from curate.operators.rules import (
 )
 from curate.operators.skew import fits_broadcast
 from curate.sinks import load_jdbc, stored, write_parquet
+from curate.sinks.versions import VersionedTable
 from curate.sources import lookup_details, read_parquet, search_hits
 
 logger = logging.getLogger(__name__)
@@ -227,13 +228,8 @@ def write_split(
 def extract(
     pages: DataFrame, details: DataFrame, raw_path: str, max_pages: int | None = None
 ) -> DataFrame:
-    """Landed search pages and details to raw Parquet; returns the missing hits.
-
-    The hits are stored first: they are narrow, and every later step reads them
-    instead of parsing the pages again.
-    """
-    hits = stored(search_hits(pages, max_pages), "hits")
-    found, missing = lookup_details(hits, details, RAW_SCHEMA)
+    """Landed search pages and details to raw Parquet; returns the missing hits."""
+    found, missing = lookup_details(search_hits(pages, max_pages), details, RAW_SCHEMA)
     write_parquet(found, raw_path)
     return missing
 
@@ -256,6 +252,17 @@ def transform(
     write_split(records(raw), KEY, main_path, quarantine_path, null_keys=null_keys)
 
 
+def refresh(spark: SparkSession, raw_path: str, table_path: str) -> int:
+    """Curate the raw files that came in since the last run and upsert their records.
+
+    Returns the number of files. The table is created by the first run; running again
+    over the same files changes nothing. See ``VersionedTable``.
+    """
+    schema = records(spark.createDataFrame([], RAW_SCHEMA)).schema
+    table = VersionedTable.create(spark, table_path, schema, KEY)
+    return table.load_files(raw_path, RAW_SCHEMA, prepare=records)
+
+
 def for_load(main: DataFrame) -> DataFrame:
     """Final casts before the load: scores as float, the date as a date."""
     return apply_types(

@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curate.operators import classify_changes, history, new_rows, upsert, write_upsert
+from curate.operators import (
+    HotLimits,
+    as_of,
+    classify_changes,
+    history,
+    merge_history,
+    new_rows,
+    upsert,
+    write_upsert,
+)
 from curate.registry.entries import Registry, table
 from curate.sinks import shared_folder
+from curate.sinks.versions import VersionedTable
 
 REGISTRY = Registry()
 
@@ -131,3 +141,111 @@ def status_history(spark, sf_dir):
 def event_history(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return history(events, "user_id", "ts", ["event_type"])
+
+
+#: Under these limits every key with more than one in a thousand rows is hot.
+HOT = HotLimits(rows=0, parts=1000)
+RANGES = 16
+
+# Every ninth order comes without a customer, every fifth comes late.
+STATUS = """versions as (
+      select case when o_orderkey % 9 <> 0 then o_custkey % 50 end as customer,
+        o_orderdate as moment, o_orderstatus from orders),
+    one as (
+      select customer, moment, min(o_orderstatus) as o_orderstatus from versions group by 1, 2),
+    marked as (
+      select *, lag(o_orderstatus) over (partition by customer order by moment) as before from one),
+    kept as (select * from marked where before is null or before <> o_orderstatus)
+    select customer, o_orderstatus, moment as valid_from,
+      lead(moment) over (partition by customer order by moment) as valid_to
+    from kept"""
+
+
+def status_versions(spark, sf_dir):
+    customer = F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey") % 50)
+    late = F.col("o_orderkey") % 5 == 0
+    return table(spark, sf_dir, "orders").select(
+        customer.alias("customer"), F.col("o_orderdate").alias("moment"), "o_orderstatus", late.alias("late")
+    )
+
+
+@REGISTRY.query(f"with {STATUS}")
+def history_hot(spark, sf_dir):
+    """Histories of few keys, linked from range to range."""
+    versions = status_versions(spark, sf_dir)
+    return history(versions, "customer", "moment", ["o_orderstatus"], limits=HOT, ranges=RANGES)
+
+
+@REGISTRY.query(f"with {STATUS}")
+def history_merged(spark, sf_dir):
+    """A stored history after late versions equals the history of all versions."""
+    every = status_versions(spark, sf_dir)
+    versions, late = every.filter(~F.col("late")), every.filter("late")
+    path = f"{shared_folder(spark)}/held"
+    history(versions, "customer", "moment", ["o_orderstatus"]).write.parquet(path)
+    return merge_history(
+        spark.read.parquet(path), versions, late, "customer", "moment", ["o_orderstatus"]
+    )
+
+
+# What a user last clicked and how much it was worth, at each of their other events.
+CLICKS = """with clicks as (
+      select user_id, ts, min(struct_pack(v := value, p := props)) as s
+      from events where event_type = 'click' group by 1, 2)
+    select e.event_id, e.user_id, e.ts, c.s.v as clicked_value, c.s.p as clicked_props
+    from (select * from events where event_type <> 'click') e
+    asof left join clicks c on e.user_id = c.user_id and e.ts >= c.ts"""
+
+
+def clicks_as_of(spark, sf_dir, **options):
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", "event_type",
+        F.col("value").alias("clicked_value"), F.col("props").alias("clicked_props"),
+    )
+    clicks = events.filter(F.col("event_type") == "click")
+    others = events.filter(F.col("event_type") != "click").select("event_id", "user_id", "ts")
+    return as_of(others, clicks, "user_id", "ts", ["clicked_value", "clicked_props"], **options)
+
+
+@REGISTRY.query(CLICKS)
+def events_as_of(spark, sf_dir):
+    return clicks_as_of(spark, sf_dir)
+
+
+@REGISTRY.query(CLICKS)
+def events_as_of_hot(spark, sf_dir):
+    """The same with the last value carried from range to range."""
+    return clicks_as_of(spark, sf_dir, limits=HotLimits(rows=0, parts=1_000_000), ranges=RANGES)
+
+
+@REGISTRY.query(
+    f"""with {KEYLESS} select * from keyless union all
+    select * from target where c_custkey not in (select c_custkey from keyless where c_custkey is not null)"""
+)
+def upsert_versioned(spark, sf_dir):
+    """A target in versions, changed in the buckets that the incoming rows touch; the same
+    batch a second time changes nothing."""
+    held = target(spark, sf_dir)
+    customers = VersionedTable.create(
+        spark, f"{shared_folder(spark)}/customers", held.schema, "c_custkey", buckets=16
+    )
+    customers.upsert(held, "first")
+    for _ in range(2):
+        customers.upsert(keyless(spark, sf_dir), "second")
+    return customers.read()
+
+
+@REGISTRY.query(
+    f"""with {KEYLESS} select * from keyless union all
+    select * from target where c_custkey not in (select c_custkey from keyless where c_custkey is not null)"""
+)
+def increment_once(spark, sf_dir):
+    """Landed files are loaded once each, however often the load runs."""
+    folder = shared_folder(spark)
+    schema = target(spark, sf_dir).schema
+    customers = VersionedTable.create(spark, f"{folder}/customers", schema, "c_custkey", buckets=16)
+    for rows in (target(spark, sf_dir), keyless(spark, sf_dir)):
+        rows.write.mode("append").parquet(f"{folder}/landed")
+        for _ in range(2):
+            customers.load_files(f"{folder}/landed", schema)
+    return customers.read()

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curate.sources.readers import read_parquet
+
 Build = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,4 +33,4 @@ class Registry(dict[str, Entry]):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")

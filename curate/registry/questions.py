@@ -209,6 +209,45 @@ def events_running_max_hot(spark, sf_dir):
     return running_max(events, ["event_type"], "ts", "value", "highest", limits=ALL_HOT)
 
 
+#: Enough ranges that a flag lies in several, at any size of the table.
+RANGES = 16
+
+
+@REGISTRY.query(
+    """select l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice,
+    max(l_extendedprice) over (partition by l_returnflag order by l_orderkey) as highest
+    from lineitem"""
+)
+def lines_running_max_hot(spark, sf_dir):
+    """Three flags and an order by number, from range to range."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice"
+    )
+    return running_max(
+        lines, ["l_returnflag"], "l_orderkey", "l_extendedprice", "highest",
+        limits=ALL_HOT, ranges=RANGES,
+    )
+
+
+@REGISTRY.query(
+    """select * from (
+      select l_orderkey, l_linenumber, l_returnflag, l_extendedprice,
+        row_number() over (partition by l_returnflag
+          order by l_extendedprice desc nulls last, l_orderkey, l_linenumber)::integer as rank
+      from lineitem)
+    where rank <= 5000"""
+)
+def top_lines_per_flag(spark, sf_dir):
+    """More rows per group than Spark cuts groups to, counted along ranges."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
+    )
+    return top_n_per_group(
+        lines, ["l_returnflag"], "l_extendedprice", 5000, ["l_orderkey", "l_linenumber"],
+        ranges=RANGES,
+    )
+
+
 @REGISTRY.query(
     """select event_id, event_type, value,
     max(value) over (partition by event_type) as peak from events"""

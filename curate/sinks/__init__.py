@@ -1,4 +1,12 @@
-from curate.sinks.files import shared_folder, stored, write_parquet
+from curate.sinks.files import delete_folder, discard, owned, shared_folder, stored, write_parquet
 from curate.sinks.jdbc import load_jdbc
 
-__all__ = ["load_jdbc", "shared_folder", "stored", "write_parquet"]
+__all__ = [
+    "delete_folder",
+    "discard",
+    "load_jdbc",
+    "owned",
+    "shared_folder",
+    "stored",
+    "write_parquet",
+]

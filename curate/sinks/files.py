@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     It cuts the lineage, outlives lost executors, and gives the planner the
     true size of the table.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}"
-    write_parquet(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = shared_folder(df.sparkSession)
+    write_parquet(df, f"{folder}/{name}")
+    read = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+    read.stored_in = folder
+    for owner in _OWNERS:
+        owner.append(folder)
+    return read
+
+
+_OWNERS: list[list[str]] = []
+
+
+@contextmanager
+def owned() -> Iterator[list[str]]:
+    """Collects the folders of all tables stored meanwhile, for their owner to delete
+    once what depends on them is written."""
+    folders: list[str] = []
+    _OWNERS.append(folders)
+    try:
+        yield folders
+    finally:
+        _OWNERS[:] = [o for o in _OWNERS if o is not folders]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        delete_folder(table.sparkSession, table.stored_in)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store the path names; an absent one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

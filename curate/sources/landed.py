@@ -6,12 +6,13 @@ are JSON. Fetching them is left to whatever lands the files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curate.operators.dedup import keep_one
-from curate.operators.skew import join_unique
+from curate.operators.skew import HotLimits, has_hot_keys, join_unique
+from curate.sinks.files import stored
 
 PAGE_SCHEMA = T.StructType(
     [
@@ -30,28 +31,40 @@ def is_success(response: Column) -> Column:
     return F.coalesce(response == "True", F.lit(False))
 
 
-def search_hits(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def search_hits(
+    pages: DataFrame, max_pages: int | None = None, limits: HotLimits | None = None
+) -> DataFrame:
     """Titles found per query: (query, page, pos, title), repeats kept.
 
     A query is read from page 1 on, up to ``max_pages`` where that is given, and
     ends at its first page that is absent, unreadable or unsuccessful; later pages
     of it are ignored. A page landed more than once counts once.
 
-    The end is found by keys: the least page whose successor is not there. So no
-    task gathers the pages of a query to number them.
+    Where no query holds a hot share of the pages, which is measured, the pages of
+    each are numbered, and one is reached if its number is its place. Otherwise good
+    pages are stored, and the end is found by keys: the least page whose successor is
+    not there. So no task gathers the pages of a hot query to number them.
     """
     wanted = F.col("page") >= 1
     if max_pages is not None:
         wanted = wanted & (F.col("page") <= max_pages)
-    parsed = pages.filter(wanted).select(
-        "query", "page", F.from_json("body", PAGE_SCHEMA).alias("result")
-    )
+    pages = pages.filter(wanted)
+    parsed = pages.select("query", "page", F.from_json("body", PAGE_SCHEMA).alias("result"))
     good = keep_one(
         parsed.filter(is_success(F.col("result.Response"))).select(
             "query", "page", F.col("result.Search.Title").alias("titles")
         ),
         ["query", "page"],
     )
+    if has_hot_keys(pages, ["query"], limits):
+        reached = _reached_by_keys(stored(good, "pages"))
+    else:
+        place = F.row_number().over(Window.partitionBy("query").orderBy("page"))
+        reached = good.withColumn("place", place).filter(F.col("place") == F.col("page"))
+    return reached.select("query", "page", F.posexplode("titles").alias("pos", "title"))
+
+
+def _reached_by_keys(good: DataFrame) -> DataFrame:
     keys = good.select("query", "page")
     there = keys.select(F.col("query").alias("q"), F.col("page").alias("p"))
     before_first = keys.select("query").distinct().withColumn("page", F.lit(0).cast("int"))
@@ -62,10 +75,9 @@ def search_hits(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
         .groupBy(F.col("query").alias("q"))
         .agg(F.min("page").alias("stop"))
     )
-    reached = good.join(
+    return good.join(
         stops, F.col("query").eqNullSafe(F.col("q")) & (F.col("page") < F.col("stop"))
     )
-    return reached.select("query", "page", F.posexplode("titles").alias("pos", "title"))
 
 
 def accepted_details(details: DataFrame, schema: T.StructType) -> DataFrame:
@@ -81,8 +93,10 @@ def lookup_details(
     """Look up every hit by title and return (records, missing hits).
 
     A title that was found twice gives its record twice. Hits whose title has
-    no usable detail are reported, not dropped.
+    no usable detail are reported, not dropped. The hits are stored first: they are
+    narrow, and every later step reads them instead of the pages.
     """
+    hits = stored(hits, "hits")
     usable = accepted_details(details, schema)
     records = join_unique(hits, usable, ["title"]).select("record.*")
     untitled = hits.filter(F.col("title").isNull())

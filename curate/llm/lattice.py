@@ -17,34 +17,45 @@ in a join dealt out by word, and sums come back per document.
 Edge cases: a null text is an empty one and has the end alone; null ids belong to the
 training part; rows with equal id and text score alike; without any training text all
 pieces keep the weights of the vocabulary; an empty table gives an empty result; other
-columns do not matter.
+columns do not matter. A very long text is split in the memory of one worker. A very long
+word is scored alone, in time in proportion to its length: about twenty seconds for each
+million bytes, and as long in each round of maximisation, on the task that holds it.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curate.llm.common import keyed, stored
-from curate.llm.tokenization import vocabulary_path
+from curate.llm.tokenization import small_batches, vocabulary_path
 
 PIECES = "piece_bpe_32k.model"
 HEAD_WORDS = 200_000
 ROUNDS = 2
 PRIOR = 0.01
-FLUSH_WORDS = 200_000
+GROUP_BYTES = 8 << 20
 BATCH_WORDS = 4096
+#: Bytes of the words that are scored together, which bounds the forward table.
+BATCH_BYTES = 1 << 20
+#: Frequent words of more bytes are looked up by the join, which bounds the broadcast.
+HEAD_LENGTH = 64
 
 _MARK = "▁".encode()
 
 
+_INSIDE, _BEGIN = 1, 2
+
+
 class Lattice:
     """A byte trie over pieces and the forward and backward recursions on it.
 
@@ -55,12 +66,13 @@ class Lattice:
     def __init__(self, texts: list[bytes], weights: np.ndarray):
         self.texts, self.weights = texts, weights
         self.longest = max((len(t.removeprefix(_MARK)) for t in texts), default=1)
-        nodes: list[dict[int, int]] = [{}, {}]  # roots inside a word and at its begin
-        piece = [-1, -1]
+        # No node, which no path leaves, and the roots inside a word and at its begin.
+        nodes: list[dict[int, int]] = [{}, {}, {}]
+        piece = [-1, -1, -1]
         for number, text in enumerate(texts):
-            at = 0
+            at = _INSIDE
             if text.startswith(_MARK):
-                at, text = 1, text[len(_MARK):]
+                at, text = _BEGIN, text[len(_MARK):]
             for byte in text:
                 if byte not in nodes[at]:
                     nodes[at][byte] = len(nodes)
@@ -81,14 +93,18 @@ class Lattice:
         own = np.append(weights[258:], -np.inf)
         self.of_node = own[self.piece]
 
-    def _steps(self, data: np.ndarray, start: int, root: int):
-        """(end, node) of the paths from ``start`` of all words in ``data``."""
-        state = np.full(len(data), root, dtype=np.int64)
+    def _pieces(self, data: np.ndarray, start: int, root: int):
+        """(end, rows, nodes) of the pieces that begin at ``start`` in the rows of ``data``."""
+        rows, state = np.arange(len(data)), np.full(len(data), root, dtype=np.int64)
         for end in range(start + 1, min(start + self.longest, data.shape[1]) + 1):
-            state = self.next[state, data[:, end - 1]]
-            if not state.any():
+            state = self.next[state, data[rows, end - 1]]
+            alive = state > 0
+            rows, state = rows[alive], state[alive]
+            if not len(rows):
                 return
-            yield end, state
+            whole = self.piece[state] >= 0
+            if whole.any():
+                yield end, rows[whole], state[whole]
 
     def _forward(self, data: np.ndarray) -> np.ndarray:
         n, length = data.shape
@@ -96,12 +112,11 @@ class Lattice:
         alpha[0] = self.mark
         for start in range(length):
             if start == 0:
-                for end, state in self._steps(data, 0, 1):
-                    score = np.where(state > 0, self.of_node[state], -np.inf)
-                    alpha[end] = np.logaddexp(alpha[end], score)
-            for end, state in self._steps(data, start, 0):
-                score = np.where(state > 0, self.of_node[state], -np.inf)
-                alpha[end] = np.logaddexp(alpha[end], alpha[start] + score)
+                for end, rows, nodes in self._pieces(data, 0, _BEGIN):
+                    alpha[end, rows] = np.logaddexp(alpha[end, rows], self.of_node[nodes])
+            for end, rows, nodes in self._pieces(data, start, _INSIDE):
+                score = alpha[start, rows] + self.of_node[nodes]
+                alpha[end, rows] = np.logaddexp(alpha[end, rows], score)
             spelled = alpha[start] + self.of_bytes[data[:, start]]
             alpha[start + 1] = np.logaddexp(alpha[start + 1], spelled)
         return alpha
@@ -125,19 +140,16 @@ class Lattice:
             byte = data[:, start]
             own = beta[start + 1] + self.of_bytes[byte]
             take(byte, alpha[start] + own)
-            for root in (0, 1) if start == 0 else (0,):
-                before = alpha[start] if root == 0 else np.zeros(n)
-                for end, state in self._steps(data, start, root):
-                    hit = np.flatnonzero((state > 0) & (self.piece[state] >= 0))
-                    if not len(hit):
-                        continue
-                    path = self.of_node[state[hit]] + beta[end][hit]
+            for root in (_INSIDE, _BEGIN) if start == 0 else (_INSIDE,):
+                before = alpha[start] if root == _INSIDE else np.zeros(n)
+                for end, rows, nodes in self._pieces(data, start, root):
+                    path = self.of_node[nodes] + beta[end, rows]
                     np.add.at(
-                        used, 258 + self.piece[state[hit]],
-                        np.exp(before[hit] + path - total[hit]) * counts[hit],
+                        used, 258 + self.piece[nodes],
+                        np.exp(before[rows] + path - total[rows]) * counts[rows],
                     )
-                    if root == 0:
-                        own[hit] = np.logaddexp(own[hit], path)
+                    if root == _INSIDE:
+                        own[rows] = np.logaddexp(own[rows], path)
             beta[start] = own
         used[257] += float((np.exp(self.mark + beta[0] - total) * counts).sum())
         return used
@@ -169,14 +181,22 @@ def _grouped(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for i, word in enumerate(words):
         by_length[len(word)].append(i)
     for length, rows in by_length.items():
-        for at in range(0, len(rows), BATCH_WORDS):
-            some = rows[at : at + BATCH_WORDS]
+        together = max(1, min(BATCH_WORDS, BATCH_BYTES // max(1, length)))
+        for at in range(0, len(rows), together):
+            some = rows[at : at + together]
             joined = b"".join(words[i] for i in some)
             yield np.array(some), np.frombuffer(joined, dtype=np.uint8).reshape(-1, length)
 
 
-def text_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def text_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, with A-Z lower-cased, and where each text begins."""
+    column = pc.ascii_lower(texts.cast(pa.large_string()).fill_null(""))
+    split = pc.ascii_split_whitespace(column)
+    words = split.flatten()
+    real = pc.not_equal(words, "")
+    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    offsets = split.offsets.to_numpy()
+    return words.filter(real), ends[offsets - offsets[0]]
 
 
 def held_out(key: Column) -> Column:
@@ -185,32 +205,16 @@ def held_out(key: Column) -> Column:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts per task, given out whenever many distinct words have been met."""
-    train: Counter = Counter()
-    other: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        words = list(train.keys() | other.keys())
-        batch = pa.RecordBatch.from_arrays(
-            [
-                pa.array(words, pa.binary()),
-                pa.array([train[w] for w in words], pa.int64()),
-                pa.array([train[w] + other[w] for w in words], pa.int64()),
-            ],
-            names=["word", "c", "everywhere"],
-        )
-        train.clear()
-        other.clear()
-        return batch
-
-    for batch in batches:
-        pairs = zip(batch.column("text").to_pylist(), batch.column("held").to_pylist(), strict=True)
-        for text, held in pairs:
-            (other if held else train).update(text_words(text))
-            if len(train) + len(other) > FLUSH_WORDS:
-                yield out()
-    if train or other:
-        yield out()
+    """Counts per group of texts, apart for the training part; Spark adds them up."""
+    for batch in small_batches(batches, size=GROUP_BYTES):
+        held = batch.column("held")
+        for part, learned in ((batch.filter(pc.invert(held)), 1), (batch.filter(held), 0)):
+            counts = text_words(part.column("text"))[0].value_counts()
+            n = counts.field("counts")
+            yield pa.RecordBatch.from_arrays(
+                [counts.field("values").cast(pa.binary()), pc.multiply(n, learned), n],
+                names=["word", "c", "everywhere"],
+            )
 
 
 def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,7 +277,7 @@ def _score_words(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.Record
         )
 
 
-_HEADS: dict[int, dict[bytes, tuple[float, float, int]]] = {}
+_HEADS: dict[str, dict[bytes, tuple[float, float, int]]] = {}
 
 
 def _head(broadcast) -> dict[bytes, tuple[float, float, int]]:
@@ -289,34 +293,33 @@ def _head(broadcast) -> dict[bytes, tuple[float, float, int]]:
 def _score_documents(batches: Iterator[pa.RecordBatch], head) -> Iterator[pa.RecordBatch]:
     """For each row one line with the sums over frequent words, and one for each other
     distinct word with its number."""
-    table = _head(head)
-    for batch in batches:
-        keys, words, numbers, base, score, known = [], [], [], [], [], []
-        for at, text in enumerate(batch.column("text").to_pylist()):
-            found = Counter(text_words(text))
-            sums, rest = [0.0, 0.0, 0], []
-            for word, n in found.items():
-                hit = table.get(word)
-                if hit is None:
-                    rest.append((word, n))
-                else:
-                    sums[0] += n * hit[0]
-                    sums[1] += n * hit[1]
-                    sums[2] += n * hit[2]
-            keys += [at] * (len(rest) + 1)
-            words += [None, *(w for w, _ in rest)]
-            numbers += [sum(found.values()), *(n for _, n in rest)]
-            base.append(sums[0]), score.append(sums[1]), known.append(sums[2])
-            blank = [None] * len(rest)
-            base += blank
-            score += blank
-            known += blank
-        taken = pa.array(keys, pa.int64())
+    table, unknown = _head(head), (0.0, 0.0, 0)
+    for batch in small_batches(batches):
+        flat, begins = text_words(batch.column("text"))
+        lengths = np.diff(begins)
+        coded = flat.dictionary_encode()
+        codes, distinct = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+        hits = [table.get(w) for w in distinct.to_pylist()]
+        frequent = np.array([h is not None for h in hits], dtype=bool)[codes]
+        values = np.array([h or unknown for h in hits], dtype=float).reshape(-1, 3)
+        row = np.repeat(np.arange(len(batch)), lengths)
+        of, found = row[frequent], values[codes[frequent]]
+        base, score, known = (np.bincount(of, found[:, i], len(batch)) for i in range(3))
+        pair, times = np.unique(row[~frequent] * max(1, len(distinct)) + codes[~frequent], return_counts=True)
+        in_row, word = np.divmod(pair, max(1, len(distinct)))
+        taken = pa.array(np.concatenate([np.arange(len(batch)), in_row]))
+        rare = len(pair)
         yield pa.RecordBatch.from_arrays(
             [
-                *[batch.column(c).take(taken) for c in ("key", "__id", "__th")],
-                pa.array(words, pa.binary()), pa.array(numbers, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array(known, pa.int64()),
+                # The sums alone need the key as it came.
+                pa.concat_arrays([batch.column("key"), pa.nulls(rare, batch.column("key").type)]),
+                *[batch.column(c).take(taken) for c in ("__id", "__th")],
+                pa.concat_arrays([pa.nulls(len(batch), pa.binary()), distinct.take(pa.array(word))]),
+                pa.array(np.concatenate([lengths, times]).astype(np.int64)),
+                *[
+                    pa.concat_arrays([pa.array(v.astype(t)), pa.nulls(rare, pa.from_numpy_dtype(t))])
+                    for v, t in ((base, np.float64), (score, np.float64), (known, np.int64))
+                ],
             ],
             names=["key", "__id", "__th", "word", "n", "base", "score", "known"],
         )
@@ -352,9 +355,10 @@ def score_documents(
     )
     # At most head_words words can each be one in head_words of all tokens.
     least = max(1.0, int(seen["all"] or 0) / head_words)
-    frequent = table.filter(F.col("everywhere") >= least).toArrow().to_pydict()
+    often = (F.col("everywhere") >= least) & (F.octet_length("word") <= HEAD_LENGTH)
+    frequent = table.filter(often).toArrow().to_pydict()
     head = spark.sparkContext.broadcast(
-        {"id": id(frequent), "words": frequent["word"]}
+        {"id": uuid.uuid4().hex, "words": frequent["word"]}
         | {c: frequent[c] for c in ("base", "score", "known")}
     )
     named = keyed(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key")
@@ -366,7 +370,7 @@ def score_documents(
     lines = stored(lines, "lines")
     rare = (
         lines.filter(F.col("word").isNotNull())
-        .select("key", "__id", "__th", "word", "n")
+        .select("key", "__id", "__th", "word", "n")  # the key is null here
         .join(table.select("word", *[F.col(c).alias(f"w_{c}") for c in ("base", "score", "known")]), "word")
         .select(
             "key", "__id", "__th", F.lit(0).cast("long").alias("n"),

@@ -7,7 +7,8 @@ file in parallel. Ids are stored as a list of integers, which ORC writes as runs
 
 Edge cases: a null text is an empty one and gives the end id alone; null document ids
 come first; rows with an equal id are ordered by their text; an empty table gives an
-empty folder with a schema; only id and text are read, other columns do not matter.
+empty folder with a schema; a very long text is encoded and written as one row, in the
+memory of one worker; only id and text are read, other columns do not matter.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from curate.llm.common import stored
 from curate.llm.tokenization import END_ID, encoder, small_batches, vocabulary_path
+from curate.operators.skew import fits_broadcast
 
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 << 20),
@@ -73,23 +76,49 @@ def write_tokens(
     ).orc(path)
 
 
+def _file_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.orc(path).withColumn("__file", F.col("_metadata.file_name"))
+
+
+def _with_start(rows: DataFrame, every: DataFrame) -> DataFrame:
+    """Add ``start`` to ``rows``, whose files are those of ``every``.
+
+    Starts of files are running sums over one row per file, ordered by the numbers in
+    its name, those of the task and of the file within the task, which follow the
+    ranges; that is the only step one task does alone. A task goes on counting rows in
+    its next file, so a file begins with its first ``row_start``. The table of files is
+    broadcast if it is small, which is measured, and joined by a shuffle otherwise.
+    """
+    number = [F.regexp_extract("__file", p, 1).cast("long") for p in (r"^part-(\d+)", r"-c(\d+)\.")]
+    earlier = Window.orderBy(*number, "__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = stored(
+        every.groupBy("__file").agg(F.sum("n_tokens").alias("n"), F.min("row_start").alias("first")),
+        "files",
+    )
+    base = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    files = files.select("__file", base.alias("__base"))
+    if fits_broadcast(files):
+        files = F.broadcast(files)
+    return rows.join(files, "__file").withColumn("start", F.col("__base") + F.col("row_start"))
+
+
 def read_tokens(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """All documents of a folder with ``start``, the ids of all documents before each.
 
-    A filter on the key reaches the row index and the Bloom filters. Starts of files are
-    running sums over one row per file, ordered by the file's name, which follows the
-    ranges; that is the only step one task does alone.
+    A filter on the key reaches the row index and the Bloom filters.
     """
-    rows = spark.read.orc(path).withColumn("__file", F.col("_metadata.file_name"))
-    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    files = (
-        rows.groupBy("__file")
-        .agg(F.sum("n_tokens").alias("n"))
-        .select("__file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__base"))
-    )
-    return rows.join(files, "__file").select(
-        key, (F.col("__base") + F.col("row_start")).alias("start"), "n_tokens", "ids"
+    rows = _file_rows(spark, path)
+    return _with_start(rows, rows).select(key, "start", "n_tokens", "ids")
+
+
+def read_digests(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
+    """As ``token_digests`` of ``read_tokens``, with the ids summed up where they are read."""
+    rows = _file_rows(spark, path)
+    kind = rows.schema[key].dataType.simpleString()
+    digests = rows.select(key, "__file", "row_start", "ids").mapInArrow(
+        _digests, f"{key} {kind}, __file string, row_start long, n_tokens long, ids_crc32 long"
     )
+    return _with_start(digests, rows).select(key, "start", "n_tokens", "ids_crc32")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,14 +4,15 @@ A *window* starts at a line and takes whole lines until it has ``min_words`` wor
 Of each window the line with the smallest hash (the first, if several) is selected as
 its fingerprint. Equal windows select equal fingerprints, so every run of lines that
 repeats and has ``min_words`` words or more is sure to share a fingerprint with its
-earlier copy. Windows whose fingerprint occurs once are done. From every other
-fingerprint the match is extended both ways to the windows that selected it, which
-must agree line by line; windows that overlap or touch join into one run. A run is
+earlier copy. Windows whose fingerprint occurs once, or never with the same window
+around it, are done. From every other fingerprint the match is extended both ways to the
+windows that selected it, which must agree line by line; windows that overlap or touch
+join into one run. A run is
 deleted if it occurred earlier: in a document with a smaller id (nulls last, equal ids
 by a hash of the text), or further up in the same document.
 
 The result does not depend on how data is split: a line goes if and only if it lies in
-a window that occurred earlier. No pair of occurrences is ever formed; every occurrence
+a window, or with ``whole_runs`` in a span, that occurred earlier. No pair of occurrences is ever formed; every occurrence
 is matched with the first one, by a join against a table with one row per window.
 
 Lines at the end of a run, from each of which fewer than ``min_words`` words are left to
@@ -21,7 +22,8 @@ fewer than ``min_words`` words. These longer spans are matched in the same way,
 lines of a run of ``min_words`` words that occurred earlier, wherever, go.
 
 Edge cases: null text stays null and empty text stays empty; lines without a word take
-no part, and go only where they lie inside a deleted run; rows with the same id and text
+no part, and go only where they lie inside a deleted run; a very long text is held by one
+task as the array of its lines; rows with the same id and text
 count as one document; an empty table gives an empty result; other columns pass through.
 """
 
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.llm.common import keyed, stored, word_array
+from curate.llm.common import discard, keyed, stored, word_array
 
 MIN_WORDS = 50
 
@@ -109,17 +111,20 @@ def line_windows(
 
 
 def _fingerprints(windows: DataFrame) -> DataFrame:
-    """Fingerprint hashes that occur at two places or more, one row each.
+    """Fingerprints that occur at two places or more with the same window around them, one
+    row each: their hash, and that of the window.
 
-    A fingerprint is counted from the first window that selected it, so windows that
-    share it count once; least and greatest place differ where it repeats.
+    Equal windows have their fingerprints at the same line, so their least and greatest
+    place differ where one repeats. A line that is common alone joins nothing. The extra
+    grouping column makes both sides of the join that follows a plain shuffle, which the
+    adaptive planner can split where one passage is very common.
     """
     place = F.struct(*_DOC, F.col("fp_idx"))
     return (
-        windows.groupBy("fp")
+        windows.groupBy("fp", "whole", F.hash("fp").alias("h"))
         .agg(F.min(place).alias("low"), F.max(place).alias("high"))
         .filter(F.col("low") != F.col("high"))
-        .select("fp")
+        .select("fp", "whole")
     )
 
 
@@ -142,8 +147,9 @@ def repeated_runs(
 ) -> DataFrame:
     """Later copies of repeated runs: (__null, __id, __th, first_pos, last_pos), as
     positions of lines counted from zero."""
-    windows = stored(line_windows(docs, key, text, min_words, whole_runs), "windows")
-    matched = windows.join(_fingerprints(windows), "fp", "left_semi")
+    windows = line_windows(docs, key, text, min_words, whole_runs)
+    windows = stored(windows.withColumn("whole", F.xxhash64("hashes")), "windows")
+    matched = windows.join(_fingerprints(windows), ["fp", "whole"], "left_semi")
     if whole_runs:
         matched = _with_tails(matched)
     content = stored(
@@ -153,6 +159,7 @@ def repeated_runs(
         ),
         "matches",
     )
+    discard(windows)
     here = F.struct(*_DOC, F.col("idx"))
     # The extra grouping column makes both sides of the join a plain shuffle, which
     # the adaptive planner can split where one passage is very common.
@@ -203,7 +210,8 @@ def dedup_lines(
     )
 
 
-#: The same in SQL for DuckDB, by comparing whole windows of lines.
+#: The same in SQL for DuckDB, for whole runs: every window of lines, and every span that
+#: goes on after one while the lines after its first have fewer than 50 words.
 ORACLE_SQL = r"""
 with d as (
   select row_number() over () as r, doc_id, text, string_split(text, chr(10)) as ls from documents
@@ -215,14 +223,32 @@ with d as (
   select *, row_number() over o as idx, sum(words) over o - words as start
   from l where words > 0 window o as (partition by r order by pos)
 ), w as (
-  select r, doc_id, text, idx, pos, max(pos) over o as last_pos, sum(words) over o as n,
-    list(line) over o as content
-  from p window o as (partition by r order by start range between current row and 49 following)
+  select a.r, a.doc_id, a.text, a.idx, a.pos, b.idx as last, b.pos as last_pos,
+    b.start + b.words - a.start as n, b.start - a.start as n_before,
+    b.start + b.words - a.start - a.words as n_after
+  from p a join p b on a.r = b.r and b.idx >= a.idx
+    and b.start - a.start < greatest(50, a.words + 50)
+), c as (
+  select w.r, w.doc_id, w.text, w.idx, w.pos, w.last, w.last_pos,
+    list(p.line order by p.idx) as content
+  from w join p on p.r = w.r and p.idx between w.idx and w.last
+  where w.n >= 50 and (w.n_before < 50 or w.n_after < 50)
+  group by all
 ), f as (
   select *, row_number() over (partition by content order by doc_id nulls last, text, idx) as nth
-  from w where n >= 50
+  from c
+), later as (
+  select *, max(last) over (partition by r order by idx, last
+    rows between unbounded preceding and 1 preceding) as reached
+  from f where nth > 1
+), runs as (
+  select *, sum((reached is null or idx > reached + 1)::integer)
+    over (partition by r order by idx, last rows unbounded preceding) as run
+  from later
+), spans as (
+  select r, run, min(pos) as a, max(last_pos) as b from runs group by r, run
 ), gone as (
-  select distinct r, unnest(range(pos, last_pos + 1)) as pos from f where nth > 1
+  select distinct r, unnest(range(a, b + 1)) as pos from spans
 ), kept as (
   select l.r, string_agg(line, chr(10) order by l.pos) as t, count(*) as n
   from l where not exists (select 1 from gone g where g.r = l.r and g.pos = l.pos) group by l.r

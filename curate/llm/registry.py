@@ -33,7 +33,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens"
     token_files.write_tokens(table(spark, sf_dir, "documents"), path)
-    return token_files.token_digests(token_files.read_tokens(spark, path))
+    return token_files.read_digests(spark, path)
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("long"),
         lambda n, s: n + s["last_pos"] - s["first_pos"] + 1,
     )
-    return line_dedup.dedup_lines(docs).select(
+    return line_dedup.dedup_lines(docs, whole_runs=True).select(
         "doc_id", "text",
         F.coalesce(F.size(F.split("whole", "\n")).cast("long"), F.lit(0)).alias("n_lines"),
         gone.alias("n_removed"),

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curate.sinks.files import stored
+from curate.sinks.files import delete_folder, discard, owned, stored
 
-__all__ = ["BLANK", "DOCUMENT_COLUMNS", "ascii_lower", "keyed", "stored", "word_array"]
+__all__ = [
+    "BLANK", "DOCUMENT_COLUMNS", "ascii_lower", "delete_folder", "discard", "keyed", "owned",
+    "stored", "word_array",
+]
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 

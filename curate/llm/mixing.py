@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.llm.common import keyed, stored, word_array
+from curate.llm.common import delete_folder, keyed, owned, stored, word_array
 
 TARGET_ENTROPY = 0.95
 MAX_REPEATS = 4.0
@@ -215,8 +215,12 @@ def realise(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str =
     Rows with equal id and text are one document here, with the reads of all of them.
     """
     named = keyed(docs, key, text)
-    reads = schedule(named.select(key, "source", counted(docs, text), "__id", "__th"), mix, key)
-    places = stored(reads.select("__id", "__th", "block", "position"), "places")
+    items = named.select(key, "source", counted(docs, text), "__id", "__th")
+    with owned() as folders:
+        places = stored(schedule(items, mix, key).select("__id", "__th", "block", "position"), "places")
+    for folder in folders:
+        if folder != places.stored_in:  # what the schedule was made of
+            delete_folder(docs.sparkSession, folder)
     return (
         named.dropDuplicates(["__id", "__th"])
         .join(places.withColumnsRenamed({"block": "__block", "position": "__position"}), ["__id", "__th"])

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from curate.llm import mixing, near_copies
+from curate.llm import mixing, simhash
 from curate.llm.tokenization import END_ID, encoder, vocabulary_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -26,28 +29,30 @@ def edited(rng, words, times):
     return out
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+def plain_fingerprint(text):
+    """Bit by bit, as the contract of op6_simhash says it."""
+    words = (text or "").encode().lower().split()
+    parts = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def survivors(texts):
-    """Smallest id of each component of all pairs at 0.8 or more, by brute force."""
-    sets = {i: shingles(t) for i, t in texts}
-    root = {i: i for i in sets}
+def plain_components(texts):
+    """Smallest id of each component of all pairs at two bits or fewer, by brute force."""
+    prints = {i: plain_fingerprint(t) for i, t in texts}
+    root = {i: i for i in prints}
 
     def top(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for a in sets:
-        for b in sets:
-            both = len(sets[a] & sets[b])
-            if a < b and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
                 low, high = sorted((top(a), top(b)))
                 root[high] = low
-    return {top(i) for i in sets}
+    return {i: top(i) for i in prints}, prints
 
 
 @pytest.fixture(scope="module")
@@ -65,19 +70,41 @@ def near_texts():
 
 
 def test_near_duplicates_equal_brute_force(spark, near_texts):
-    kept = corpus_pipeline.near_duplicates(spark, documents(spark, near_texts), "").collect()
-    assert sorted(r.doc_id for r in kept) == sorted(survivors(near_texts))
-
-
-def test_near_duplicates_of_one_large_group(spark, monkeypatch):
-    """Leaders alone do not link these; the pairs left over do."""
-    monkeypatch.setattr(near_copies, "PAIRS_PER_ROW", 0)
-    monkeypatch.setattr(near_copies, "TURNS", 2)
-    rng = np.random.default_rng(4)
-    words = [f"w{i}" for i in range(300)]
-    texts = [(i, " ".join(edited(rng, words, int(rng.integers(3, 9))))) for i in range(80)]
-    kept = corpus_pipeline.near_duplicates(spark, documents(spark, texts), "").collect()
-    assert {r.doc_id for r in kept} == survivors(texts)
+    roots, prints = plain_components(near_texts)
+    docs = documents(spark, near_texts)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(roots.values()))
+    assert len(set(roots.values())) < len(near_texts)
+    got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {i: (prints[i], roots[i]) for i in roots}
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    """Null and empty texts are linked, equal rows are one, columns stay."""
+    rows = [(4, None), (2, ""), (3, " \n"), (7, "a b"), (7, "a b"), (None, "a b"), (9, "word " * 60_000)]
+    docs = documents(spark, rows).withColumn("fp", F.lit("x")).withColumn("root", F.lit(1))
+    kept = simhash.keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 9]
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_fingerprints_on_the_smallest_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    roots, prints = plain_components([tuple(r) for r in docs.collect()])
+    got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {i: (prints[i], roots[i]) for i in roots}
+
+
+def test_a_stage_deletes_what_the_one_before_stored(spark, near_texts, tmp_path):
+    docs = documents(spark, near_texts[:50])
+    corpus_pipeline.lines(spark, docs, "").write.parquet(str(tmp_path / "1"))
+    folders = list(corpus_pipeline._LEFT)
+    assert any(Path(f).exists() for f in folders)
+    docs = spark.read.parquet(str(tmp_path / "1"))
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert not any(Path(f).exists() for f in folders)
+    assert 0 < kept.count() <= 50
 
 
 def test_mixing_follows_the_schedule_of_op1(spark):

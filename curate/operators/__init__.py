@@ -32,6 +32,7 @@ from curate.operators.dedup import (
     rows_with_repeated_keys,
     split_duplicates,
 )
+from curate.operators.drift import drift, drift_rules, histograms, merge_histograms
 from curate.operators.profile import profile_columns, profile_stages
 from curate.operators.rules import (
     check_rules,
@@ -55,10 +56,13 @@ __all__ = [
     "clamp_negative",
     "classify_changes",
     "count_by",
+    "drift",
+    "drift_rules",
     "enrich",
     "fill_defaults",
     "fill_with_mean",
     "fits_broadcast",
+    "histograms",
     "history",
     "in_order",
     "join_unique",
@@ -67,6 +71,7 @@ __all__ = [
     "log_rules",
     "mean_and_sum_by",
     "mean_by",
+    "merge_histograms",
     "merge_history",
     "new_rows",
     "profile_columns",

@@ -51,7 +51,7 @@ from curate.operators.rules import (
 from curate.operators.skew import fits_broadcast
 from curate.sinks import load_jdbc, stored, write_parquet
 from curate.sinks.versions import VersionedTable
-from curate.sources import lookup_details, read_parquet, search_hits
+from curate.sources import lookup_details, probe_jdbc, read_parquet, search_hits
 
 logger = logging.getLogger(__name__)
 
@@ -271,5 +271,9 @@ def for_load(main: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, main_path: str, url: str, table: str, **options: object) -> int:
-    """Curated Parquet to a database table; returns the rows written."""
+    """Curated Parquet to a database table; returns the rows written.
+
+    The connection is probed first, so an unreachable database costs no read.
+    """
+    probe_jdbc(spark, url, **{k: options[k] for k in ("user", "password", "driver") if k in options})
     return load_jdbc(for_load(read_parquet(spark, main_path)), url, table, **options)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from curate.operators import (
     check_rules,
+    drift_rules,
+    histograms,
     profile_columns,
     repeated_keys,
     rows_with_repeated_keys,
@@ -254,3 +256,35 @@ def quarantine_written(spark, sf_dir):
 )
 def load_casts(spark, sf_dir):
     return cat.for_load(flagship_curated(spark, sf_dir))
+
+
+# Orders of the years up to 1996 against later ones.
+DRIFT = {"o_orderstatus": None, "o_orderpriority": None, "o_totalprice": 10_000.0}
+
+
+@REGISTRY.query(
+    """with cells as (
+      select year(o_orderdate) > 1996 as late, 'o_orderstatus' as col, o_orderstatus as bucket from orders
+      union all
+      select year(o_orderdate) > 1996, 'o_orderpriority', o_orderpriority from orders
+      union all
+      select year(o_orderdate) > 1996, 'o_totalprice', floor(o_totalprice / 10000.0)::bigint::varchar from orders),
+    n as (
+      select col, bucket, count(*) filter (late) as new, count(*) filter (not late) as old
+      from cells group by 1, 2),
+    d as (
+      select col, round(sum(abs(new::double / (select count(*) from orders where year(o_orderdate) > 1996)
+        - old::double / (select count(*) from orders where year(o_orderdate) <= 1996))) / 2, 6) as distance
+      from n group by 1)
+    select 'drift' as rule, col as "column", distance,
+      case when distance <= case col when 'o_orderstatus' then 0.2 else 0.05 end then 'ok' else 'warn' end as status
+    from d"""
+)
+def drift_between_loads(spark, sf_dir):
+    """Rules on how far columns moved between two loads."""
+    orders = table(spark, sf_dir, "orders")
+    late = F.year("o_orderdate") > 1996
+    before, after = (histograms(orders.filter(which), DRIFT) for which in (~late, late))
+    return drift_rules(
+        before, after, {"o_orderstatus": 0.2, "o_orderpriority": 0.05, "o_totalprice": 0.05}
+    )

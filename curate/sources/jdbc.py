@@ -40,8 +40,11 @@ def read_jdbc(
     """A table, or a query in parentheses with an alias.
 
     A partition column with bounds and a number of partitions makes the read
-    parallel; without them one task reads everything.
+    parallel; without them one task reads everything, which is logged as a warning
+    unless one partition is asked for.
     """
+    if partition_column is None and num_partitions != 1:
+        logger.warning("one task reads all of %s: no partition column is given", table)
     split = {"partitionColumn": partition_column, "numPartitions": num_partitions}
     if bounds is not None:
         split |= {"lowerBound": bounds[0], "upperBound": bounds[1]}
@@ -60,7 +63,9 @@ def probe_jdbc(
 ) -> None:
     """Run a trivial query; log the outcome and raise when it fails."""
     try:
-        read_jdbc(spark, url, query, user=user, password=password, driver=driver).limit(1).collect()
+        read_jdbc(
+            spark, url, query, user=user, password=password, driver=driver, num_partitions=1
+        ).limit(1).collect()
     except Exception:
         logger.exception("no connection to the database")
         raise

@@ -361,7 +361,7 @@ with d as (
 ), h as (
   select r, p, k, name from dw join iw using (k, g)
 ), n as (
-  select r, count(distinct at) as n_hit from h, unnest(range(p, p + k)) as u(at) group by r
+  select r, count(distinct place) as n_hit from h, unnest(range(p, p + k)) as u(place) group by r
 ), m as (
   select r, count(*) as n_items, string_agg(name, ',' order by name) as names
   from (select distinct r, name from h) group by r

@@ -50,17 +50,17 @@ def search_hits(
         wanted = wanted & (F.col("page") <= max_pages)
     pages = pages.filter(wanted)
     parsed = pages.select("query", "page", F.from_json("body", PAGE_SCHEMA).alias("result"))
-    good = keep_one(
-        parsed.filter(is_success(F.col("result.Response"))).select(
-            "query", "page", F.col("result.Search.Title").alias("titles")
-        ),
-        ["query", "page"],
+    good = parsed.filter(is_success(F.col("result.Response"))).select(
+        "query", "page", F.col("result.Search.Title").alias("titles")
     )
     if has_hot_keys(pages, ["query"], limits):
-        reached = _reached_by_keys(stored(good, "pages"))
+        reached = _reached_by_keys(stored(keep_one(good, ["query", "page"]), "pages"))
     else:
-        place = F.row_number().over(Window.partitionBy("query").orderBy("page"))
-        reached = good.withColumn("place", place).filter(F.col("place") == F.col("page"))
+        # Both windows take the rows of a query where one shuffle brings them.
+        place = F.dense_rank().over(Window.partitionBy("query").orderBy("page"))
+        copy = F.row_number().over(Window.partitionBy("query", "page").orderBy("titles"))
+        numbered = good.withColumn("place", place).filter(F.col("place") == F.col("page"))
+        reached = numbered.withColumn("copy", copy).filter(F.col("copy") == 1)
     return reached.select("query", "page", F.posexplode("titles").alias("pos", "title"))
 
 

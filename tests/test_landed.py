@@ -153,3 +153,31 @@ def test_json_records_fill_missing_fields_with_null(spark, tmp_path):
     rows = read_json_records(spark, str(path), cat.RAW_SCHEMA).orderBy("Title").collect()
     assert rows[0].Title is None and rows[0].Year == "1"
     assert rows[1].Ratings[0].Source == "s" and rows[1].imdbID is None
+
+
+def test_pages_of_hot_and_ordinary_queries_give_the_same_hits(spark):
+    import random
+
+    from curate.operators import HotLimits
+
+    pick = random.Random(4)
+    rows = []
+    for _ in range(300):
+        body = pick.choice([
+            '{"Response":"True","Search":[{"Title":"a"},{"Title":"b"}]}',
+            '{"Response":"True","Search":[{"Title":"c"}]}',
+            '{"Response":"False"}', '{"Response":"True","Sea',
+        ])
+        rows.append((pick.choice(["q", "q", "r", None]), pick.randint(0, 90), body))
+    rows += [("q", i, rows[0][2]) for i in range(1, 30)]
+    pages = spark.createDataFrame(rows, "query string, page int, body string")
+    plain = sorted(map(tuple, search_hits(pages).collect()), key=str)
+    hot = sorted(map(tuple, search_hits(pages, limits=HotLimits(0, 1000)).collect()), key=str)
+    assert plain == hot and len(plain) > 20
+
+
+def test_pages_are_scanned_once(spark):
+    from curate.registry.landing import landed_pages
+
+    found = search_hits(landed_pages(spark, "/root/testdata/sf0.001"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -33,7 +33,7 @@ from curate.operators.dedup import (
     split_duplicates,
 )
 from curate.operators.drift import drift, drift_rules, histograms, merge_histograms
-from curate.operators.profile import profile_columns, profile_stages
+from curate.operators.profile import profile_columns, profile_stages, stage_counts
 from curate.operators.rules import (
     check_rules,
     log_rules,
@@ -88,6 +88,7 @@ __all__ = [
     "schema_report",
     "sentinel_to_null",
     "split_duplicates",
+    "stage_counts",
     "top_k",
     "top_n_per_group",
     "upsert",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curate.operators.dedup import repeated_keys
+from curate.operators.profile import Counts
 from curate.operators.skew import count_rows_by
 
 logger = logging.getLogger(__name__)
@@ -71,16 +72,22 @@ def rule_references(column: str, target: DataFrame, target_column: str) -> Refer
     return ReferenceRule(column, target, target_column)
 
 
-def _row_results(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    rows = [
-        F.struct(
-            F.lit(r.rule).alias("rule"),
-            F.lit(r.column).alias("column"),
-            F.count_if(r.broken).alias("failed_rows"),
-        )
-        for r in rules
+def row_rule_counts(rules: Sequence[RowRule]) -> Counts:
+    """One count per row rule, and the result lines they stand up to."""
+    counts = [F.count_if(r.broken).alias(f"__broken_{i}") for i, r in enumerate(rules)]
+    cells = [
+        cell
+        for i, r in enumerate(rules)
+        for cell in (F.lit(r.rule), F.lit(r.column), F.col(f"__broken_{i}"))
     ]
-    return df.agg(F.array(*rows).alias("results")).select(F.inline("results"))
+    lines = F.stack(F.lit(len(rules)), *cells)
+    return Counts(counts, lines.alias("rule", "column", "failed_rows"))
+
+
+def with_status(results: DataFrame) -> DataFrame:
+    """Add ``warn`` where a rule failed, else ``ok``."""
+    status = F.when(F.col("failed_rows") > 0, "warn").otherwise("ok")
+    return results.withColumn("status", status)
 
 
 def _one_result(failed: DataFrame, rule: str, column: str) -> DataFrame:
@@ -103,7 +110,7 @@ def check_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Result table (rule, column, failed_rows, status)."""
     rules = list(rules)
     row_rules = [r for r in rules if isinstance(r, RowRule)]
-    results = [_row_results(df, row_rules)] if row_rules else []
+    results = [row_rule_counts(row_rules).over(df)] if row_rules else []
     for r in rules:
         if isinstance(r, UniqueRule):
             results.append(_one_result(repeated_keys(df, r.column), r.rule, r.column))
@@ -111,9 +118,7 @@ def check_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
             results.append(_orphans(df, r))
     if not results:
         raise ValueError("no rules given")
-    table = reduce(DataFrame.unionByName, results)
-    status = F.when(F.col("failed_rows") > 0, "warn").otherwise("ok")
-    return table.withColumn("status", status)
+    return with_status(reduce(DataFrame.unionByName, results))
 
 
 def log_rules(results: DataFrame) -> None:

@@ -64,7 +64,7 @@ TYPED = {
 }
 
 
-@REGISTRY.query(
+PROFILE_SQL = (
     f"with {STAGES} "
     + " union all ".join(
         [
@@ -74,6 +74,9 @@ TYPED = {
         ]
     )
 )
+
+
+@REGISTRY.query(PROFILE_SQL)
 def stage_profile(spark, sf_dir):
     return cat.reports(derived(spark, sf_dir, "catalogue")).profile
 
@@ -85,7 +88,7 @@ def rule_sql(rule: str, column: str, count: str) -> str:
     )
 
 
-@REGISTRY.query(
+RULES_SQL = (
     f"with {STAGES} "
     + " union all ".join(
         [
@@ -99,6 +102,9 @@ def rule_sql(rule: str, column: str, count: str) -> str:
         ]
     )
 )
+
+
+@REGISTRY.query(RULES_SQL)
 def rule_results(spark, sf_dir):
     return cat.reports(derived(spark, sf_dir, "catalogue")).rules
 
@@ -249,6 +255,25 @@ def quarantine_written(spark, sf_dir):
     return read_parquet(spark, copies)
 
 
+def report_written(spark, sf_dir, name):
+    """A report that the transform counted while it wrote its tables, read back."""
+    folder = shared_folder(spark)
+    raw = f"{folder}/raw"
+    write_parquet(derived(spark, sf_dir, "catalogue"), raw)
+    cat.transform(spark, raw, f"{folder}/main", f"{folder}/quarantine", f"{folder}/reports")
+    return read_parquet(spark, f"{folder}/reports/{name}")
+
+
+@REGISTRY.query(PROFILE_SQL)
+def profile_written(spark, sf_dir):
+    return report_written(spark, sf_dir, "profile")
+
+
+@REGISTRY.query(RULES_SQL)
+def rules_written(spark, sf_dir):
+    return report_written(spark, sf_dir, "rules")
+
+
 @REGISTRY.query(
     f"""with {STAGES}, main as ({first_rows_sql("typed", "imdbID", OUTPUT)})
     select * replace ("imdbRating"::float as "imdbRating", "Metacritic"::float as "Metacritic")

@@ -16,6 +16,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def write_parts(df: DataFrame, part: str, path: str) -> None:
+    """Write one folder ``part=value`` per value of a column, which the files leave out."""
+    df.write.mode("overwrite").partitionBy(part).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that driver and executors share.
 
@@ -73,3 +78,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store the path names; an absent one is no error."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, which is deleted; both lie in one store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(target).getParent())
+    delete_folder(spark, target)
+    if not store.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")

@@ -171,6 +171,32 @@ def test_staged_write_replaces_an_old_quarantine(spark, tmp_path):
     assert spark.read.parquet(main).count() == 1
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("rows", [0, 1, 3])
+def test_staged_write_of_small_tables_counts_every_row(spark, tmp_path, monkeypatch, small, rows):
+    """No unique row, no row at all: the main folder is there with its columns."""
+    monkeypatch.setattr(cat, "fits_broadcast", lambda df: small)
+    main, quarantine = str(tmp_path / "main"), str(tmp_path / "quarantine")
+    df = spark.createDataFrame([("x", i, None) for i in range(rows)], SCHEMA)
+    total = [F.count("*").alias("n"), F.count_if(F.col("b").isNull()).alias("empty")]
+    for _ in range(2):
+        split = cat.write_split(df, "k", main, quarantine, columns=["a", "k"], counts=total)
+    assert tuple(split.counted.first()) == (rows, rows)
+    written = spark.read.parquet(main)
+    assert sorted(written.columns) == ["a", "k"] and written.count() == min(rows, 1)
+    assert spark.read.parquet(quarantine).count() == (rows if rows > 1 else 0)
+    assert {p.name for p in tmp_path.iterdir()} == {"main", "quarantine"}
+
+
+def test_a_stopped_split_leaves_the_old_main_table(spark, tmp_path, monkeypatch):
+    main, quarantine = str(tmp_path / "main"), str(tmp_path / "quarantine")
+    cat.write_split(spark.createDataFrame([("x", 1, "a")], SCHEMA), "k", main, quarantine)
+    monkeypatch.setattr(cat, "keep_one", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        cat.write_split(spark.createDataFrame([("y", 1, "a")], SCHEMA), "k", main, quarantine)
+    assert [r.k for r in spark.read.parquet(main).collect()] == ["x"]
+
+
 def test_fits_broadcast_measures_rows_and_bytes(spark):
     df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
     assert skew.fits_broadcast(df)

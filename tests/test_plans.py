@@ -23,7 +23,10 @@ def built(spark, name) -> str:
     return plan(entries()[name].build(spark, SF_DIR))
 
 
-WRITERS = {"csv_roundtrip", "json_records", "transform_written", "landed_to_curated"}
+WRITERS = {
+    "csv_roundtrip", "json_records", "transform_written", "landed_to_curated", "profile_written",
+    "rules_written",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(entries()) - WRITERS))
@@ -88,16 +91,41 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_a_small_list_of_repeated_keys_leaves_unique_rows_unshuffled(spark, tmp_path, monkeypatch):
-    """The main output is one scan with a broadcast, plus the few survivors."""
-    plans = []
-    monkeypatch.setattr(cat, "write_parquet", lambda df, path: (plans.append(plan(df)), df.write.parquet(path)))
+    """Whole rows are read once, by a write with a broadcast; what follows reads the copies."""
+    dealt, later = [], []
+    write_parts, write_parquet = cat.write_parts, cat.write_parquet
+    monkeypatch.setattr(cat, "write_parts", lambda df, part, path: (dealt.append(plan(df)), write_parts(df, part, path)))
+    monkeypatch.setattr(cat, "write_parquet", lambda df, *to: (later.append(plan(df)), write_parquet(df, *to)))
     raw = str(tmp_path / "raw")
     derived(spark, SF_DIR, "catalogue").write.parquet(raw)
     rows = cat.records(spark.read.parquet(raw))
     cat.write_split(rows, cat.KEY, str(tmp_path / "main"), str(tmp_path / "copies"))
-    copies, main = plans
-    assert "SortMergeJoin" not in copies and "Exchange hashpartitioning" not in copies
-    assert "BroadcastHashJoin" in main and main.count("Exchange hashpartitioning") == 1
+    assert len(dealt) == 1 and "BroadcastHashJoin" in dealt[0]
+    assert "Exchange hashpartitioning" not in dealt[0] and dealt[0].count(f"{raw}]") == 1
+    copies, main = later
+    assert raw + "]" not in copies + main and "Exchange hashpartitioning" not in copies
+    assert main.count("Exchange hashpartitioning") == 1
+    for text in later:
+        assert "PartitionFilters: [isnotnull(part__" in text
+
+
+@pytest.mark.parametrize(("reports", "scans"), [(False, 2), (True, 4)])
+def test_the_transform_reads_its_input_as_often_as_it_says(spark, tmp_path, monkeypatch, reports, scans):
+    raw = str(tmp_path / "raw")
+    derived(spark, SF_DIR, "catalogue").write.parquet(raw)
+    ran = []
+
+    def watch(module, name):
+        act = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *to: (ran.append(plan(df)), act(df, *to))[1])
+
+    watch(cat, "write_parts")
+    watch(cat, "write_parquet")
+    watch(cat, "stored")
+    monkeypatch.setattr(cat, "log_rules", lambda results: None)
+    report_path = str(tmp_path / "reports") if reports else None
+    cat.transform(spark, raw, str(tmp_path / "main"), str(tmp_path / "copies"), report_path)
+    assert sum(text.count(f"{raw}]") for text in ran) == scans
 
 
 def test_dimension_size_decides_the_join(spark, monkeypatch):

@@ -6,7 +6,7 @@ reaches the target entropy, but not below the smallest that holds the repetition
 Five levels of the bisection are evaluated in one job, over one row per source.
 
 The weights are then realised. Each source is read in passes, each pass in a random
-order of its own (a hash of id and pass), the last one only as far as the budget goes.
+order of its own (a hash of row and pass), the last one only as far as the budget goes.
 The stream of each source is cut into the same number of blocks, each with its share of
 the tokens, and rows are put into a random order within their block. Running sums over a
 source are taken in two steps, over ranges of the random key and then within a range, so
@@ -157,7 +157,9 @@ def schedule(items: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFra
     reads = planned.filter(last >= 0).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), last))
     )
-    name = F.concat_ws(":", F.lit(str(mix.seed)), F.col("epoch"), F.col(key))
+    # The whole row, so that rows without an id, or with one id, spread like any others.
+    row = F.xxhash64(*[F.col(c) for c in items.columns])
+    name = F.concat_ws(":", F.lit(str(mix.seed)), F.col("epoch"), F.col(key), row)
     digest = F.md5(name.cast("binary"))
     ranges = F.ceil(F.col("n") / RANGE_ROWS).cast("long")
     reads = reads.withColumn("__digest", digest).withColumns(
@@ -205,7 +207,8 @@ def counted(docs: DataFrame, text: str = "text") -> Column:
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
     """Schedule of documents: (key, source, n_tokens, epoch, block, position)."""
-    return schedule(docs.select(key, "source", counted(docs)), mix, key)
+    items = docs.select(key, "source", counted(docs), F.xxhash64("text").alias("__th"))
+    return schedule(items, mix, key).drop("__th")
 
 
 def realise(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text") -> DataFrame:

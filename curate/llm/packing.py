@@ -142,7 +142,9 @@ def _pack(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 def _dealt(rows: DataFrame, count: int, turn: int, group_rows: int) -> DataFrame:
     groups = max(1, -(-count // group_rows))
-    order = F.xxhash64(F.lit(turn), *[F.col(c) for c in rows.columns])
+    # With the place of a row in its stored table, as equal rows would fill one group.
+    place = F.monotonically_increasing_id()
+    order = F.xxhash64(F.lit(turn), place, *[F.col(c) for c in rows.columns])
     return rows.withColumn("__order", order).withColumn(
         "__group", F.pmod("__order", F.lit(groups)).cast("long")
     )

@@ -142,6 +142,28 @@ def test_mixing_respects_a_budget(spark):
     assert all(abs(r.n - 3000) <= 30 for r in got)
 
 
+def test_mixing_spreads_rows_without_an_id(spark, monkeypatch):
+    """Rows of one id lie in as many ranges as others do, and none is lost."""
+    rows = [(None if i % 2 else 5, "a", 3 + i % 5, i) for i in range(20_000)]
+    items = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long, body long")
+    seen = []
+    monkeypatch.setattr(mixing, "stored", lambda df, name: seen.append((name, df)) or df)
+    got = mixing.schedule(items, mixing.Mix(block_tokens=20_000))
+    assert sorted(r.body for r in got.select("body").collect()) == list(range(20_000))
+    reads = next(df for name, df in seen if name == "reads")
+    sizes = [r["count"] for r in reads.groupBy("__range").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * mixing.RANGE_ROWS
+
+
+def test_packing_deals_equal_rows_out(spark):
+    same = spark.createDataFrame([(None, 300)] * 4000, "doc_id long, length long")
+    dealt = packing._dealt(same, 4000, 0, 500).groupBy("__group").count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 1000
+    packed = packing.pack(same, group_rows=500).collect()
+    assert len(packed) == 4000 and len({(r.sequence_id, r.offset) for r in packed}) == 4000
+    assert 1334 <= len({r.sequence_id for r in packed}) <= 1334 + 8
+
+
 def test_encoder_equals_the_library():
     e = encoder(vocabulary_path())
     texts = [

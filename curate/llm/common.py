@@ -9,7 +9,7 @@ from curate.sinks.files import delete_folder, discard, owned, stored
 
 __all__ = [
     "BLANK", "DOCUMENT_COLUMNS", "ascii_lower", "delete_folder", "discard", "keyed", "owned",
-    "stored", "word_array",
+    "packed", "stored", "unpacked", "word_array",
 ]
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -43,3 +43,15 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             "__th": F.xxhash64(column.isNull(), column, text),
         }
     )
+
+
+def packed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every row whole in ``__row``, beside its key, its text, ``__id`` and ``__th``, so that
+    columns of any name travel without meeting those of an operator."""
+    row = F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("__row")
+    return keyed(docs.select(key, text, row), key, text)
+
+
+def unpacked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns of ``__row``."""
+    return rows.select(*[F.col(f"__row.`{n}`").alias(n) for n in names])

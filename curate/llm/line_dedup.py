@@ -24,7 +24,8 @@ lines of a run of ``min_words`` words that occurred earlier, wherever, go.
 Edge cases: null text stays null and empty text stays empty; lines without a word take
 no part, and go only where they lie inside a deleted run; a very long text is held by one
 task as the array of its lines; rows with the same id and text
-count as one document; an empty table gives an empty result; other columns pass through.
+count as one document; an empty table gives an empty result; other columns pass through,
+but for one named ``__removed``, which is replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.llm.common import discard, keyed, stored, word_array
+from curate.llm.common import discard, keyed, packed, stored, word_array
 
 MIN_WORDS = 50
 
@@ -202,11 +203,15 @@ def dedup_lines(
         lambda line, i: ~F.exists("__removed", lambda s: i.between(s["first_pos"], s["last_pos"])),
     )
     left = F.when(F.col("__removed").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+    passed = [
+        F.col(text) if n == text else F.col(f"__row.`{n}`").alias(n)
+        for n in docs.columns if n != "__removed"
+    ]
     return (
-        keyed(docs, key, text)
+        packed(docs, key, text)
         .join(spans, ["__id", "__th"], "left")
         .withColumn(text, left)
-        .drop("__id", "__th")
+        .select(*passed, "__removed")
     )
 
 

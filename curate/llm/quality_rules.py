@@ -10,7 +10,8 @@ over their language, and if that is small too, over everything.
 
 Edge cases: a null or blank text has no words and fails the base rule; null language
 or source is a group of its own; an empty table gives an empty result; repeated rows
-are judged alike; columns of other names are left alone by ``filter_documents``.
+are judged alike; columns of other names are left alone by ``filter_documents``. A very
+long text is held by one task as the array of its words.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 FENCE = 6
+#: Fewest documents whose own quartiles are taken for a limit.
 MIN_GROUP = 200
 
 
@@ -177,8 +179,9 @@ def _fences(counts: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     return limits.groupBy(*keys).agg(*columns)
 
 
-def thresholds(counts: DataFrame) -> DataFrame:
-    """Limits in force for each (lang, source): own, else language-wide, else global."""
+def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    """Limits in force for each (lang, source): own, else language-wide, else global, of
+    the first that has ``min_group`` documents."""
     own = _fences(counts, ["lang", "source"], "own_")
     by_lang = _fences(counts, ["lang"], "lang_").withColumnRenamed("lang", "of_lang")
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
@@ -189,8 +192,8 @@ def thresholds(counts: DataFrame) -> DataFrame:
         F.col("lang").alias("of_lang"),
         F.col("source").alias("of_source"),
         *[
-            F.when(F.col("own_n") >= MIN_GROUP, F.col(f"own_{n}"))
-            .when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{n}"))
+            F.when(F.col("own_n") >= min_group, F.col(f"own_{n}"))
+            .when(F.col("lang_n") >= min_group, F.col(f"lang_{n}"))
             .otherwise(F.lit(everywhere.get(n)).cast("long"))
             .alias(f"__{n}")
             for n in names
@@ -198,13 +201,15 @@ def thresholds(counts: DataFrame) -> DataFrame:
     )
 
 
-def judged(stats: DataFrame, groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
+def judged(
+    stats: DataFrame, groups: tuple[str, str] = ("lang", "source"), min_group: int = MIN_GROUP
+) -> DataFrame:
     """Add ``kept`` to a table of ``document_statistics`` that is cheap to read twice.
 
     Limits are joined; they are broadcast only if measured small, else both sides are
     dealt out by language and source, where the adaptive planner splits hot groups.
     """
-    limits = stored(thresholds(stored(sketches(stats, groups), "sketches")), "limits")
+    limits = stored(thresholds(stored(sketches(stats, groups), "sketches"), min_group), "limits")
     if fits_broadcast(limits):
         limits = F.broadcast(limits)
     inside = F.lit(True)
@@ -221,19 +226,19 @@ def judged(stats: DataFrame, groups: tuple[str, str] = ("lang", "source")) -> Da
     )
 
 
-def quality_verdicts(docs: DataFrame) -> DataFrame:
+def quality_verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Statistics and verdict of every document, without its text."""
     narrow = docs.select("doc_id", "text", "lang", "source")
-    return judged(stored(document_statistics(narrow).drop("text"), "statistics"))
+    return judged(stored(document_statistics(narrow).drop("text"), "statistics"), min_group=min_group)
 
 
-def filter_documents(docs: DataFrame) -> DataFrame:
+def filter_documents(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The documents that are kept, with the columns they came with."""
     names = docs.columns
     row = F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row")
     packed = docs.select("text", "lang", "source", row)
     stats = stored(document_statistics(packed).drop("text"), "statistics")
-    return judged(stats).filter("kept").select(*[F.col(f"__row.`{n}`") for n in names])
+    return judged(stats, min_group=min_group).filter("kept").select(*[F.col(f"__row.`{n}`") for n in names])
 
 
 #: The same in SQL for DuckDB: base statistics, sketches, limits and verdicts.

@@ -10,7 +10,11 @@ are exact.
 
 Edge cases: a text without words (null, empty, blank) has fingerprint zero and is linked
 like any other; fewer than three words are one shingle; rows with a null id get a
-component like others, named by the smallest id that is not null, null if there is none.
+component like others, named by the smallest id that is not null, null if there is none;
+equal rows share a fingerprint and stay one row each in ``near_duplicates``, one in all in
+``keep_one_per_group``; an empty table gives an empty result; other columns, of whatever
+name, pass through ``keep_one_per_group`` and do not matter elsewhere. A very long text is
+split in the memory of one worker and hashed in blocks of shingles.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curate.llm.common import keyed, stored
+from curate.llm.common import packed, stored, unpacked
 from curate.llm.components import connected_components
 
 RADIUS = 2
@@ -111,9 +115,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each near-duplicate group: the smallest id (null last),
     then the smallest hash of the text; of equal rows, one."""
-    slim = keyed(docs, key, text)
+    slim = packed(docs, key, text)
     prints = stored(
-        fingerprints(slim.withColumn("__null", F.col(key).isNull()), [key, "__null", "__id", "__th"], text),
+        fingerprints(slim.withColumn("__null", F.col(key).isNull()), ["__null", "__id", "__th"], text),
         "fingerprints",
     )
     roots = stored(connected_components(links(prints.select("fp").distinct())), "roots")
@@ -124,8 +128,5 @@ def keep_one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text")
         .agg(F.min("best").alias("best"))
         .select("best.__id", "best.__th")
     )
-    return (
-        slim.join(winners, ["__id", "__th"], "left_semi")
-        .dropDuplicates(["__id", "__th"])
-        .drop("__id", "__th")
-    )
+    kept = slim.select("__row", "__id", "__th").join(winners, ["__id", "__th"], "left_semi")
+    return unpacked(kept.dropDuplicates(["__id", "__th"]), docs.columns)

@@ -10,7 +10,8 @@ as that saves sequences.
 
 Edge cases: a null or empty text is its end id alone; documents longer than a sequence
 are cut into full pieces, the first of them shorter; equal rows are packed one by one; an
-empty table gives an empty result; other columns do not matter.
+empty table gives an empty result; other columns do not matter. A very long text is
+encoded in the memory of one worker.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ from curate.llm.tokenization import END_ID, encoder, small_batches, vocabulary_p
 
 CAPACITY = 1024
 GROUP_ROWS = 25_000
-MAX_ROUNDS = 6
+#: What the ids of sequences have room for; the exchange ends before, when a round saves
+#: nothing.
+MAX_ROUNDS = 127
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:

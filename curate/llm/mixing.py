@@ -9,15 +9,18 @@ The weights are then realised. Each source is read in passes, each pass in a ran
 order of its own (a hash of row and pass), the last one only as far as the budget goes.
 The stream of each source is cut into the same number of blocks, each with its share of
 the tokens, and rows are put into a random order within their block. Running sums over a
-source are taken in two steps, over ranges of the random key and then within a range, so
-that no task holds a source; the number of ranges follows the number of rows.
+source are taken in three steps, over groups of ranges of the random key, over the ranges
+of a group and within a range, so that no task holds a source; the number of ranges
+follows the number of rows.
 
 Without a budget it is the least at which every source is read once in full, so no
 document is lost. All amounts are integers: repetition is rounded to 1/10,000.
 
 Edge cases: a null text counts one token (its end), so that every row takes part; a null
 source is a source; rows of equal id and text are scheduled one by one; an empty table
-gives an empty schedule.
+gives an empty schedule; other columns pass through whatever their names, but for those a
+result adds, which are replaced. A very long text is counted in one task; one of more
+tokens than a block lies whole in the block where it begins.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.llm.common import delete_folder, keyed, owned, stored, word_array
+from curate.llm.common import delete_folder, owned, packed, stored, unpacked, word_array
 
 TARGET_ENTROPY = 0.95
 MAX_REPEATS = 4.0
@@ -37,6 +40,7 @@ GRID = 1024
 STEP = 32
 UNIT = 10_000
 RANGE_ROWS = 2_000
+GROUP_RANGES = 4_096
 
 
 @dataclass(frozen=True)
@@ -134,69 +138,93 @@ def source_plan(sources: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def _hex(digest: Column, at: int) -> Column:
-    """Ten hexadecimal digits of a digest as a number below 2**40."""
-    return F.conv(F.substring(digest, at, 10), 16, 10).cast("long")
+def _hex(digest: Column, at: int, digits: int = 10) -> Column:
+    """Hexadecimal digits of a digest as a number, below 2**40 for ten of them."""
+    return F.conv(F.substring(digest, at, digits), 16, 10).cast("long")
+
+
+def _before(amount: str, part: list[str], *order: str) -> Column:
+    """The sum of what comes earlier in the same part."""
+    earlier = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(amount).over(earlier), F.lit(0))
+
+
+def _joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on columns that may be null."""
+    named = right.withColumnsRenamed({c: f"__of{c}" for c in on})
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"__of{c}"))
+    return left.join(named, match).drop(*[f"__of{c}" for c in on])
+
+
+ADDED = ("epoch", "block", "position")
 
 
 def schedule(items: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
     """Schedule a table with ``key``, ``source`` and ``n_tokens`` (1 or more each).
 
     Adds ``epoch`` (the pass), ``block`` and ``position`` in the block, both from zero,
-    one row for each time a row is read. Other columns pass through.
+    one row for each time a row is read. Other columns pass through; those that are named
+    like an added one are replaced.
     """
-    items = stored(items, "items")
+    names = [c for c in items.columns if c.lower() not in ADDED]
+    own = [key, "source", "n_tokens"]
+    others = [F.col(f"`{c}`") for c in names if c not in own]
+    row = [F.struct(*others).alias("__row")] if others else []
+    items = stored(items.select(*own, *row), "items")
     sources = stored(
         items.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")),
         "sources",
     )
-    plan = stored(source_plan(sources, mix), "plan").withColumnRenamed("source", "of_source")
+    plan = stored(source_plan(sources, mix), "plan").select(
+        "source", F.struct("tokens", "n", "whole", "rest", "blocks", "quota").alias("__plan")
+    )
     # A hot source is split by the adaptive planner; the plan has one row per source.
-    planned = items.join(plan, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    last = F.col("whole") - F.when(F.col("rest") > 0, 0).otherwise(1)
+    planned = _joined(items, plan, ["source"])
+    last = F.col("__plan.whole") - F.when(F.col("__plan.rest") > 0, 0).otherwise(1)
     reads = planned.filter(last >= 0).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0).cast("long"), last))
+        "__epoch", F.explode(F.sequence(F.lit(0).cast("long"), last))
     )
     # The whole row, so that rows without an id, or with one id, spread like any others.
-    row = F.xxhash64(*[F.col(c) for c in items.columns])
-    name = F.concat_ws(":", F.lit(str(mix.seed)), F.col("epoch"), F.col(key), row)
-    digest = F.md5(name.cast("binary"))
-    ranges = F.ceil(F.col("n") / RANGE_ROWS).cast("long")
-    reads = reads.withColumn("__digest", digest).withColumns(
+    whole_row = F.xxhash64(*[F.col(c) for c in items.columns])
+    name = F.concat_ws(":", F.lit(str(mix.seed)), F.col("__epoch"), F.col(key), whole_row)
+    ranges = F.ceil(F.col("__plan.n") / RANGE_ROWS).cast("long")
+    reads = reads.withColumn("__digest", F.md5(name.cast("binary"))).withColumns(
         {
             "__turn": _hex(F.col("__digest"), 1),
             "__in_block": _hex(F.col("__digest"), 11),
-            "__range": F.shiftright(_hex(F.col("__digest"), 1) * ranges, 40),
+            # The first 36 bits of the turn, as those of a large source times its ranges
+            # must stay below 2**63.
+            "__range": F.shiftright(_hex(F.col("__digest"), 1, 9) * ranges, 36),
         }
     ).drop("__digest")
     reads = stored(reads, "reads")
-    part = ["source", "epoch", "__range"]
-    sums = reads.groupBy(*part).agg(F.sum("n_tokens").alias("in_range"))
-    earlier = Window.partitionBy("source", "epoch").orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = sums.select(
-        *[F.col(c).alias(f"{c}_") for c in part],
-        F.coalesce(F.sum("in_range").over(earlier), F.lit(0)).alias("range_start"),
+    a_pass, a_range = ["source", "__epoch"], ["source", "__epoch", "__range"]
+    sums = stored(reads.groupBy(*a_range).agg(F.sum("n_tokens").alias("__n")), "sums")
+    sums = sums.withColumn("__group", F.expr(f"__range div {GROUP_RANGES}"))
+    groups = sums.groupBy(*a_pass, "__group").agg(F.sum("__n").alias("__n")).select(
+        *a_pass, "__group", _before("__n", a_pass, "__group").alias("__group_start")
     )
-    same = F.lit(True)
-    for c in part:
-        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
-    within = Window.partitionBy(*part).orderBy("__turn", key, "n_tokens").rowsBetween(
-        Window.unboundedPreceding, -1
+    in_group = sums.withColumn("__in_group", _before("__n", [*a_pass, "__group"], "__range"))
+    starts = _joined(in_group, groups, [*a_pass, "__group"]).select(
+        *a_range, (F.col("__group_start") + F.col("__in_group")).alias("__range_start")
     )
     placed = (
-        reads.join(starts, same)
-        .withColumn("start", F.col("range_start") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-        .filter((F.col("epoch") < F.col("whole")) | (F.col("start") < F.col("rest")))
+        _joined(reads, starts, a_range)
+        .withColumn(
+            "__start", F.col("__range_start") + _before("n_tokens", a_range, "__turn", key, "n_tokens")
+        )
+        .filter((F.col("__epoch") < F.col("__plan.whole")) | (F.col("__start") < F.col("__plan.rest")))
     )
     blocked = placed.withColumn(
-        "block", F.expr("least((epoch * tokens + start) div quota, blocks - 1)")
+        "__block",
+        F.expr("least((__epoch * __plan.tokens + __start) div __plan.quota, __plan.blocks - 1)"),
     )
-    in_block = Window.partitionBy("block").orderBy("__in_block", key, "source", "epoch", "n_tokens")
-    names = [c for c in items.columns]
-    return blocked.withColumn("position", (F.row_number().over(in_block) - 1).cast("long")).select(
-        *names, "epoch", "block", "position"
+    in_block = Window.partitionBy("__block").orderBy("__in_block", key, "source", "__epoch", "n_tokens")
+    return blocked.withColumn("__position", (F.row_number().over(in_block) - 1).cast("long")).select(
+        *[F.col(c) if c in own else F.col(f"__row.`{c}`").alias(c) for c in names],
+        *[F.col(f"__{c}").alias(c) for c in ADDED],
     )
 
 
@@ -205,28 +233,31 @@ def counted(docs: DataFrame, text: str = "text") -> Column:
     return (F.size(word_array(F.col(text))) + 1).cast("long").alias("n_tokens")
 
 
-def mix_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
+def _items(named: DataFrame, key: str, text: str) -> DataFrame:
+    """What is scheduled: each document by its key, source, size and the hash of its text."""
+    return named.select(key, "__row.source", counted(named, text), "__th")
+
+
+def mix_documents(
+    docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """Schedule of documents: (key, source, n_tokens, epoch, block, position)."""
-    items = docs.select(key, "source", counted(docs), F.xxhash64("text").alias("__th"))
-    return schedule(items, mix, key).drop("__th")
+    return schedule(_items(packed(docs, key, text), key, text), mix, key).drop("__th")
 
 
 def realise(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents themselves, each as often as the schedule reads it, in the order of
-    block and position.
+    """The documents themselves, each as often as the schedule of ``mix_documents`` reads
+    it, in the order of block and position.
 
     Rows with equal id and text are one document here, with the reads of all of them.
     """
-    named = keyed(docs, key, text)
-    items = named.select(key, "source", counted(docs, text), "__id", "__th")
+    named = packed(docs, key, text)
+    name = F.coalesce(F.col(key), F.lit(0).cast(docs.schema[key].dataType)).alias("__id")
     with owned() as folders:
-        places = stored(schedule(items, mix, key).select("__id", "__th", "block", "position"), "places")
+        planned = schedule(_items(named, key, text), mix, key)
+        places = stored(planned.select(name, "__th", "block", "position"), "places")
     for folder in folders:
         if folder != places.stored_in:  # what the schedule was made of
             delete_folder(docs.sparkSession, folder)
-    return (
-        named.dropDuplicates(["__id", "__th"])
-        .join(places.withColumnsRenamed({"block": "__block", "position": "__position"}), ["__id", "__th"])
-        .orderBy("__block", "__position")
-        .drop("__id", "__th", "__block", "__position")
-    )
+    rows = named.select("__row", "__id", "__th").dropDuplicates(["__id", "__th"])
+    return unpacked(rows.join(places, ["__id", "__th"]).orderBy("block", "position"), docs.columns)

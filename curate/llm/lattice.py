@@ -189,14 +189,17 @@ def _grouped(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def text_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts in a row, with A-Z lower-cased, and where each text begins."""
-    column = pc.ascii_lower(texts.cast(pa.large_string()).fill_null(""))
-    split = pc.ascii_split_whitespace(column)
+    """The words of all texts in a row, with A-Z lower-cased, and where each text begins.
+
+    Words are lower-cased once they are cut out, as ``ascii_lower`` takes wrong bytes from a
+    slice of an array without nulls that was cast to 64-bit offsets.
+    """
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
     words = split.flatten()
     real = pc.not_equal(words, "")
     ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
     offsets = split.offsets.to_numpy()
-    return words.filter(real), ends[offsets - offsets[0]]
+    return pc.ascii_lower(words.filter(real)), ends[offsets - offsets[0]]
 
 
 def held_out(key: Column) -> Column:

@@ -102,3 +102,29 @@ def test_words_are_split_as_the_contract_says():
     words, begins = lattice.text_words(pa.array(["skipped", *texts]).slice(1))
     per_text = [words.to_pylist()[a:b] for a, b in zip(begins[:-1], begins[1:], strict=True)]
     assert per_text == [["a", "b", "c"], [], [], [], ["É", "é\x85x y"], ["q"]]
+
+
+@pytest.mark.parametrize("kind", ["string", "large_string"])
+@pytest.mark.parametrize("first", ["Skipped, a B", None])
+def test_slices_have_the_words_of_their_own_texts(kind, first):
+    """A slice without nulls, of an array with and without one."""
+    import pyarrow as pa
+
+    texts = [first, "A b", "É Cc\n", "d", " E ffff"]
+    for begin in range(1, 5):
+        for end in range(begin + 1, 6):
+            words, begins = lattice.text_words(pa.array(texts, kind).slice(begin, end - begin))
+            got = [words.to_pylist()[a:b] for a, b in zip(begins[:-1], begins[1:], strict=True)]
+            assert got == [["a", "b"], ["É", "cc"], ["d"], ["e", "ffff"]][begin - 1 : end - 1]
+
+
+@pytest.mark.parametrize("head", [200_000, 5])
+def test_documents_beyond_the_first_group_of_a_batch(spark, head):
+    """Texts of one Arrow batch that are taken up in several groups, without any null."""
+    size = lattice.GROUP_BYTES // 2
+    rows = [(i, f"Own{i} " + f"Word{i % 3} and some " * (size // 20) + "tail\n" * i) for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(lattice.score_documents(docs, head_words=head, rounds=0).collect())
+    want = plain_base(rows)
+    assert [tuple(r)[:5] for r in got] == [w[:5] for w in want]
+    assert np.allclose([r.base_score for r in got], [w[5] for w in want], rtol=1e-9)
